@@ -94,15 +94,10 @@ def step(state, price: float, rsi, ratio, sig, r: Rules):
 
 
 def _bars(pdf: pd.DataFrame):
-    plain = lambda s: [None if pd.isna(v) else v for v in s]
+    plain = lambda s: s.astype(object).where(s.notna(), None).tolist()
     return zip(pdf["price"].tolist(), plain(pdf["rsi"]), plain(pdf["rsi_ratio"]), plain(pdf["signal"]))
 
 
-def _unpack(row, name):
-    paid = getattr(row, f"{name}_paid")
-    return int(getattr(row, f"{name}_position")), int(getattr(row, f"{name}_waiting")), None if pd.isna(paid) else float(paid)
-
-
 def summarise_block(pdf: pd.DataFrame, r: Rules) -> list[tuple]:
     """What a block does to every possible start state: rows (kind, rank, cut_at, position, waiting, paid).
 
@@ -154,8 +149,9 @@ def pass_block(state, rows: list[tuple], r: Rules):
 def folded_position(df: DataFrame, b: Blocks, r: Rules) -> DataFrame:
     """Position and event per bar for the loss-cutting strategies.
 
-    Three steps: every block is summed up on its own, the (few) summaries of a series are walked
-    in order to find each block's start state, and every block is then replayed from it.
+    Three steps: every block that has a successor is summed up on its own, the (few) summaries of
+    a series are walked in order to find the state after each, and every block is then replayed
+    from the state after the block before it.
     """
     keys = list(b.keys)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
@@ -170,18 +166,22 @@ def folded_position(df: DataFrame, b: Blocks, r: Rules) -> DataFrame:
     def summarise(key, pdf):
         return heads(key, summarise_block(pdf.sort_values("pos"), r), ["kind", "rank", "cut_at", "position", "waiting", "paid"])
 
-    narrow = df.select(*b.by, "pos", "price", "rsi", "rsi_ratio", "signal")
+    last = df.groupBy(*keys).agg(F.max("blk").alias("_last"))
+    narrow = (df.select(*b.by, "pos", "price", "rsi", "rsi_ratio", "signal").join(last, keys)
+              .filter(F.col("blk") < F.col("_last")).drop("_last"))
     summaries = narrow.groupBy(*b.by).applyInPandas(
         summarise, f"{key_schema}, blk bigint, kind int, rank int, cut_at double, position int, waiting int, paid double")
 
+    begin = (r.start, 0, r.start_price if r.start else None)
+
     def walk(key, pdf):
-        state, out = (r.start, 0, r.start_price if r.start else None), []
+        state, out = begin, []
         none = lambda v: None if pd.isna(v) else float(v)
         for blk, part in pdf.groupby("blk", sort=True):
-            out.append((int(blk), *state))
             rows = [(int(x.kind), int(x.rank), none(x.cut_at), int(x.position), int(x.waiting), none(x.paid))
                     for x in part.itertuples()]
             state = pass_block(state, rows, r)
+            out.append((int(blk) + 1, *state))
         frame = pd.DataFrame(out, columns=["blk", "in_position", "in_waiting", "in_paid"])
         for name, value in zip(keys, key):
             frame[name] = value
@@ -192,7 +192,11 @@ def folded_position(df: DataFrame, b: Blocks, r: Rules) -> DataFrame:
 
     def replay(pdf):
         pdf = pdf.sort_values("pos", ignore_index=True)
-        state, positions, events = _unpack(next(pdf.itertuples()), "in"), [], []
+        first = pdf.iloc[0]
+        state, positions, events = begin, [], []
+        if not pd.isna(first["in_position"]):
+            paid = first["in_paid"]
+            state = (int(first["in_position"]), int(first["in_waiting"]), None if pd.isna(paid) else float(paid))
         for bar in _bars(pdf):
             state, event = step(state, *bar, r)
             positions.append(state[0])
@@ -200,7 +204,7 @@ def folded_position(df: DataFrame, b: Blocks, r: Rules) -> DataFrame:
         return pdf.drop(columns=["in_position", "in_waiting", "in_paid"]).assign(position=positions, strategy=events)
 
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.join(starts, b.by).groupBy(*b.by).applyInPandas(replay, f"{columns}, position int, strategy string")
+    return df.join(starts, b.by, "left").groupBy(*b.by).applyInPandas(replay, f"{columns}, position int, strategy string")
 
 
 def with_position(df: DataFrame, b: Blocks, r: Rules) -> DataFrame:
@@ -229,14 +233,14 @@ def grid_frame(bars: DataFrame, periods: list[int], b: Blocks) -> DataFrame:
     the cost per bar and period does not grow with the period.
     """
     placed = S.positioned(bars.filter(F.col("price").isNotNull()), b)
-    p, total = F.col("price"), F.col("_sum")
-    per = lambda w: {"_grid": F.array(*[
-        F.struct(F.lit(n).alias("n"),
-                 F.when(F.col("pos") >= n, (total - F.coalesce(F.lag(total, n).over(w), F.lit(0.0))) / n).alias("sma"),
-                 F.when(F.col("pos") > n, (F.lag(total, 1).over(w) - F.coalesce(F.lag(total, n + 1).over(w), F.lit(0.0))) / n)
-                 .alias("sma_prev")) for n in periods])}
-    rolled = S.rolling(placed, b, max(periods) + 2,
-                       lambda w: {"_sum": F.sum(p).over(w), "ret": S.log_return(p, w)}, per)
+    p, top = F.col("price"), max(periods) + 1
+    back = lambda k: F.coalesce(F.try_element_at("_held", -(k + 1)), F.lit(0.0))
+    mean = lambda n, shift: F.when(F.col("pos") >= n + shift, (back(F.lit(shift)) - back(n + shift)) / n)
+    rolled = S.rolling(placed, b, top + 1,
+                       lambda w: {"_sum": F.sum(p).over(w), "ret": S.log_return(p, w)},
+                       lambda w: {"_held": F.collect_list("_sum").over(w.rowsBetween(-top, 0))})
+    rolled = rolled.withColumn("_grid", F.transform(F.lit(periods), lambda n: F.struct(
+        n.alias("n"), mean(n, 0).alias("sma"), mean(n, 1).alias("sma_prev"))))
     return (rolled.select(*b.keys, b.time, "pos", "blk", "price", "ret", F.inline("_grid"))
             .withColumn("_change", F.col("sma") - F.col("sma_prev")).drop("sma_prev"))
 
@@ -244,7 +248,7 @@ def grid_frame(bars: DataFrame, periods: list[int], b: Blocks) -> DataFrame:
 def rsi_grid(bars: DataFrame, periods: list[int], r: Rules, b: Blocks = Blocks()) -> DataFrame:
     """Final strategy return for each period, used for both the mean and the strength."""
     keyed = b.with_keys("n")
-    strong = S.relative_strength(grid_frame(bars, periods, b), keyed, F.col("_change"), F.col("n"), F.col("n") + 1)
+    strong = S.relative_strength(settle(grid_frame(bars, periods, b)), keyed, F.col("_change"), F.col("n"), F.col("n") + 1)
     ready = strong.drop("_change").withColumn("rsi_ratio", F.try_divide(F.col("rsi"), F.nullif(F.col("rsi_prev"), F.lit(0.0))))
     held = with_position(settle(with_signals(ready, r)), keyed, r)
     gained = held.select(*keyed.keys, strategy_return(F.col("ret"), F.col("position"), F.col("strategy")).alias("s"))
