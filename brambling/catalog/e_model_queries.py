@@ -325,7 +325,7 @@ def _(t):
 @query("ml17_gaussian_mixtures")
 def _(t):
     reduced, _ = M.principal_components(vectors(t), k=4)
-    return M.gaussian_mixtures(M.assemble_array(reduced, "scores", ["vec_id"]), [1, 2, 3, 5], starts=2)
+    return M.gaussian_mixtures(M.assemble_array(reduced, "scores", ["vec_id"]), [1, 2, 3], starts=2, rounds=20)
 
 
 @query("ml18_hierarchical")

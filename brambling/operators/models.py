@@ -215,7 +215,7 @@ def elbow(vectors: DataFrame, ks: list[int], seed: int = 42) -> DataFrame:
     return _table(vectors, rows, "k int, cost double")
 
 
-def gaussian_mixtures(vectors: DataFrame, ks: list[int], starts: int = 10) -> DataFrame:
+def gaussian_mixtures(vectors: DataFrame, ks: list[int], starts: int = 10, rounds: int = 100) -> DataFrame:
     """Best log-likelihood of several starts per k, with AIC and BIC (full covariances)."""
     rows = []
     with cached(vectors) as data:
@@ -224,7 +224,7 @@ def gaussian_mixtures(vectors: DataFrame, ks: list[int], starts: int = 10) -> Da
             if k == 1:
                 best = _one_gaussian(data, n, d)
             else:
-                best = max(GaussianMixture(k=k, seed=s).fit(data).summary.logLikelihood for s in range(starts))
+                best = max(GaussianMixture(k=k, seed=s, maxIter=rounds).fit(data).summary.logLikelihood for s in range(starts))
             p = k * (d + d * (d + 1) / 2) + k - 1
             rows.append((k, float(best), 2 * p - 2 * best, p * math.log(n) - 2 * best))
     return _table(vectors, rows, "k int, log_likelihood double, aic double, bic double")
