@@ -2,8 +2,8 @@
 
 Ranks, running sums and quantiles need a total order.  A window over a hot group (or over
 no group at all) would pull that group into one task, so the order is established by a
-range-partitioned sort, fixed by a reliable checkpoint, and every range ("block") adds the
-totals of the blocks before it.  What crosses blocks is one row per block and group.
+range-partitioned sort, each row's place is written to the shared folder with the row, and
+every range ("block") adds the totals of the blocks before it.  What crosses blocks is one row per block and group.
 """
 
 from __future__ import annotations
@@ -19,11 +19,11 @@ _ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row position
 
 def sorted_blocks(df: DataFrame, order: list[Column | str]) -> DataFrame:
     """Rows in total order; ``_block`` is the range a row fell into, ``_place`` its position there."""
-    placed = settle(df.orderBy(*order))
-    return placed.withColumns({
+    placed = df.orderBy(*order).withColumns({
         "_block": F.spark_partition_id(),
         "_place": F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)),
     })
+    return settle(placed)
 
 
 def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
