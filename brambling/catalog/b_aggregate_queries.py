@@ -7,6 +7,7 @@ from brambling.catalog.inputs import (CLUSTERED, DAILY, HOUSE, LOANS, STATUS, ST
 from brambling.catalog.registry import query
 from brambling.functions import columns as C
 from brambling.operators import aggregate as A, encode, ordering, split
+from brambling.sources.tables import spread
 
 HASH = lambda c, seed=42: f"('0x' || substr(md5(cast({c} as varchar) || '|{seed}'), 1, 8))::BIGINT"
 
@@ -112,7 +113,7 @@ def _(t):
   c as (select lang, term, count(*) as n from w where term <> '' group by all)
   select lang, term, n, row_number() over (partition by lang order by n desc, term) as rank from c qualify rank <= 500""")
 def _(t):
-    d = t.documents.select("lang", F.split(F.lower("text"), "[^a-zà-ÿ]+").alias("terms"))
+    d = spread(t.documents).select("lang", F.split(F.lower("text"), "[^a-zà-ÿ]+").alias("terms"))
     return A.term_frequency(d, "lang", "terms", 500)
 
 

@@ -8,6 +8,8 @@ from brambling.functions import text as T
 from brambling.operators import corpus, graph, recommend, search
 from brambling.operators.ordering import top_k
 from brambling.plans import hotel, topics
+from brambling.session import settle
+from brambling.sources.tables import spread
 
 STOP = ", ".join(f"'{w}'" for w in T.STOP_WORDS)
 LETTERS = r"regexp_replace(lower(trim({c})), '[^a-zA-Z\s\p{{Z}}]', '', 'g')"
@@ -27,8 +29,12 @@ WORDS = f"""tok as (select doc_id, unnest({words_sql('text')}) as word from docu
   vec as (select word, embedding as vector from (select word, row_number() over (order by n desc, word) as r from voc) join embeddings on vec_id + 1 = r)"""
 
 
+def texts(t):
+    return spread(t.documents)
+
+
 def docs(t):
-    return t.documents.withColumnRenamed("source", "listing")
+    return texts(t).withColumnRenamed("source", "listing")
 
 
 def clauses(t):
@@ -37,7 +43,7 @@ def clauses(t):
 
 @query("tx1_normalize", f"select doc_id, array_to_string(list_filter({words_sql('text')}, lambda x: x not in ({STOP})), ' ') as text from documents")
 def _(t):
-    return t.documents.select("doc_id", T.normalize(F.col("text")).alias("text"))
+    return texts(t).select("doc_id", T.normalize(F.col("text")).alias("text"))
 
 
 @query("tx2_remove_stopwords", f"select conv_id, turn, array_to_string(list_filter(string_split(lower(text), ' '), lambda x: x not in ({STOP})), ' ') as text from conversations")
@@ -48,24 +54,27 @@ def _(t):
 
 @query("tx3_stem")
 def _(t):
-    out = corpus.stem(t.documents.select("doc_id", T.words(F.col("text")).alias("tokens")), "doc_id", "tokens")
+    out = corpus.stem(texts(t).select("doc_id", T.words(F.col("text")).alias("tokens")), "doc_id", "tokens")
     return out.select("doc_id", F.array_join("tokens", " ").alias("stems"))
 
 
 LEMMA = """lem as (select word, left(word, length(word) - 1) as lemma from voc where length(word) > 3 and right(word, 1) = 's')"""
 
 
-def lemmas(t):
-    v = corpus.vocabulary(t.documents, "text")
-    return v.filter((F.length("word") > 3) & F.col("word").endswith("s")).select("word", F.expr("left(word, length(word) - 1)").alias("lemma"))
+def vocabulary(t):
+    return settle(corpus.vocabulary(texts(t), "text"))
+
+
+def lemmas(words):
+    return words.filter((F.length("word") > 3) & F.col("word").endswith("s")).select("word", F.expr("left(word, length(word) - 1)").alias("lemma"))
 
 
 @query("tx4_lemmatize", f"""with {WORDS}, {LEMMA}, w as (select doc_id, {words_sql('text')} as l from documents),
   p as (select doc_id, unnest(range(len(l))) as i, unnest(l) as word from w), g as (select doc_id, string_agg(coalesce(lemma, word), ' ' order by i) as text from p left join lem using (word) group by doc_id)
   select doc_id, coalesce(g.text, '') as text from documents left join g using (doc_id)""")
 def _(t):
-    tokens = t.documents.select("doc_id", T.words(F.col("text")).alias("tokens"))
-    return corpus.lemmatize(tokens, "doc_id", "tokens", lemmas(t)).select("doc_id", F.array_join("tokens", " ").alias("text"))
+    tokens = texts(t).select("doc_id", T.words(F.col("text")).alias("tokens"))
+    return corpus.lemmatize(tokens, "doc_id", "tokens", lemmas(vocabulary(t))).select("doc_id", F.array_join("tokens", " ").alias("text"))
 
 
 LANGS = ["de", "en", "es", "fr"]
@@ -80,20 +89,20 @@ LANGS = ["de", "en", "es", "fr"]
   ds as (select wc.doc_id, ws.lang, round(sum(n * s), 6) as s from wc join ws using (word) group by all)
   select doc_id, documents.lang, arg_max(ds.lang, (s, ds.lang)) as detected from documents join ds using (doc_id) group by doc_id, documents.lang having detected = 'en'""")
 def _(t):
-    d = t.documents.select("doc_id", "text", "lang")
+    d = texts(t).select("doc_id", "text", "lang")
     model = corpus.fit_language(d.filter(~is_test("doc_id")), "doc_id", "text", "lang", LANGS)
     return corpus.detect_language(d, "doc_id", "text", model, LANGS).filter("detected = 'en'").select("doc_id", "lang", "detected")
 
 
 def word_vectors(t):
-    return corpus.ranked_vectors(corpus.vocabulary(t.documents, "text"), t.embeddings)
+    return corpus.ranked_vectors(corpus.vocabulary(texts(t), "text"), t.embeddings)
 
 
 @query("tx6_doc_embedding", f"""with {WORDS}, k as (select doc_id, generate_subscripts(vector, 1) as d, unnest(vector)::double as x from tok join vec using (word)),
   m as (select doc_id, d, avg(x) as x from k group by all), e as (select doc_id, round(sum(x), 5) + 0.0::double as total, round(max(x) filter (d = 1), 6) + 0.0::double as head, count(*) as dims from m group by doc_id)
   select documents.doc_id, total, head, dims from documents left join e using (doc_id)""")
 def _(t):
-    e = corpus.doc_embedding(t.documents, "doc_id", "text", word_vectors(t))
+    e = corpus.doc_embedding(texts(t), "doc_id", "text", word_vectors(t))
     return e.select("doc_id", (F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x), 5) + 0.0).alias("total"),
                     (F.round(F.col("embedding")[0], 6) + 0.0).alias("head"),
                     F.when(F.col("embedding").isNotNull(), F.size("embedding").cast("bigint")).alias("dims"))
@@ -101,7 +110,7 @@ def _(t):
 
 @query("tx7_train_word_vectors")
 def _(t):
-    return corpus.train_word_vectors(t.documents, "text", size=16, window=5, epochs=1)
+    return corpus.train_word_vectors(texts(t), "text", size=16, window=5, epochs=1)
 
 
 @query("tx8_split_sentences", f"with {SENT} select listing, doc_id, sentence_no, sentence from sent")
@@ -133,7 +142,7 @@ def tokens_sql(q):
 @query("tx11_candidate_search", f"""select doc_id, len(list_filter({tokens_sql(QUERIES[0])}, lambda w: contains(lower(text), w))) as matched from documents
   where len(list_filter({tokens_sql(QUERIES[0])}, lambda w: contains(lower(text), w))) > 0""")
 def _(t):
-    return search.candidate_search(t.documents, QUERIES[0], F.col("text"), ["doc_id"]).select("doc_id", "matched")
+    return search.candidate_search(texts(t), QUERIES[0], F.col("text"), ["doc_id"]).select("doc_id", "matched")
 
 
 @query("j5_token_membership", f"""select item_id, text, len(list_filter({tokens_sql(QUERIES[4])}, lambda w: contains(lower(text), w))) as matched from benchmark
@@ -151,7 +160,8 @@ CAND = "with " + CLAUSES + ", q as (select * from (values " + ", ".join(f"({i},
 
 
 def keyed_clauses(t):
-    return clauses(t).withColumn("id", F.col("doc_id") * 1000000 + F.col("sentence_no") * 1000 + F.col("clause_no"))
+    """The stored clause corpus that searches read."""
+    return settle(clauses(t).withColumn("id", F.col("doc_id") * 1000000 + F.col("sentence_no") * 1000 + F.col("clause_no")))
 
 
 @query("tx12_hamming_score", f"{CAND} select listing, id, criterion, round(score, 9) as score from score")
@@ -190,17 +200,17 @@ def _(t):
 
 @query("tx17_count_vectorize", f"""with {WORDS}, top as (select word from voc order by n desc, word limit 10000) select distinct doc_id, word from tok join top using (word)""")
 def _(t):
-    return corpus.count_vectorize(t.documents, "doc_id", "text")[1].select("doc_id", "word")
+    return corpus.count_vectorize(texts(t), "doc_id", "text")[1].select("doc_id", "word")
 
 
 @query("tx18_word_count", r"select doc_id, len(list_filter(string_split_regex(text, '\s+'), lambda x: x <> '')) as words from documents")
 def _(t):
-    return t.documents.select("doc_id", T.word_count(F.col("text")).alias("words"))
+    return texts(t).select("doc_id", T.word_count(F.col("text")).alias("words"))
 
 
 @query("ml24_topic_clusters")
 def _(t):
-    return topics.topic_clusters(t.documents, "doc_id", "lang", "text", word_vectors(t), k=8, dims=15)
+    return topics.topic_clusters(texts(t), "doc_id", "lang", "text", word_vectors(t), k=8, dims=15)
 
 
 # --- recommendation ----------------------------------------------------------------------------
@@ -259,21 +269,24 @@ PAIRS = f"""{TAGGED}, nb as (select *, last_value(case when tag = 'connector' th
 KEYS = ["listing", "doc_id", "sentence_no", "clause_no"]
 
 
-def tagged(t):
+def tagged(t, words):
     digest = F.conv(F.substring(F.md5(F.concat("word", F.lit("|42"))), 1, 8), 16, 10).cast("bigint") % 10
     tag = F.when(digest < 3, "noun").when(digest == 3, "connector").when(digest == 4, "compound").when(digest < 7, "adjective")
-    lexicon = corpus.vocabulary(t.documents, "text").select("word", tag.alias("tag"))
-    return graph.tag_tokens(clauses(t).withColumn("tokens", T.words(F.col("clause"))), KEYS, "tokens", lexicon)
+    return graph.tag_tokens(clauses(t).withColumn("tokens", T.words(F.col("clause"))), KEYS, "tokens", words.select("word", tag.alias("tag")))
+
+
+def pairs(t, words):
+    return graph.adjacent_pairs(tagged(t, words), KEYS).select("listing", "doc_id", "obj1", "obj2")
 
 
-def edges(t):
-    pairs = graph.adjacent_pairs(tagged(t), KEYS).select("listing", "doc_id", "obj1", "obj2")
-    return graph.edge_table(pairs, lemmas(t))
+def edges(t, words=None):
+    words = vocabulary(t) if words is None else words
+    return graph.edge_table(pairs(t, words), lemmas(words))
 
 
 @query("gr1_adjacent_pairs", f"with {PAIRS} select listing, doc_id, obj1, obj2, count(*) as n from pairs group by all")
 def _(t):
-    return graph.adjacent_pairs(tagged(t), KEYS).groupBy("listing", "doc_id", "obj1", "obj2").agg(F.count(F.lit(1)).alias("n"))
+    return pairs(t, vocabulary(t)).groupBy("listing", "doc_id", "obj1", "obj2").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("gr2_edge_table", f"with {PAIRS} select listing, obj1, obj2 from edges")
@@ -289,19 +302,20 @@ def _(t):
 @query("gr4_degree_filter", f"""with {PAIRS}, ends as (select obj1 as node, obj2 as other from weights union select obj2, obj1 from weights), deg as (select node, count(*) + count(*) filter (node = other) as d from ends group by 1)
   select obj1, obj2, weight from weights where obj1 in (select node from deg where d > 40) or obj2 in (select node from deg where d > 40)""")
 def _(t):
-    return graph.degree_filter(graph.edge_weight(edges(t)), 40)
+    return graph.degree_filter(settle(graph.edge_weight(edges(t))), 40)
 
 
 @query("gr5_entity_counts", f"""with {PAIRS}, e as (select obj1 as word from edges union all select obj2 from edges) select word, count(*) as n from e where word in (select word from lexi where tag in ('noun', 'connector')) group by 1""")
 def _(t):
-    nouns = tagged(t).filter(F.col("tag").isin(*graph.NOUNS)).select("word").distinct()
-    return graph.entity_counts(edges(t), nouns)
+    words = vocabulary(t)
+    nouns = tagged(t, words).filter(F.col("tag").isin(*graph.NOUNS)).select("word").distinct()
+    return graph.entity_counts(edges(t, words), nouns)
 
 
 @query("gr6_nearest_subject", f"""with {TAGGED}, s as (select *, last_value(case when tag = 'connector' then word end ignore nulls) over (partition by doc_id, sentence_no, clause_no order by i rows between unbounded preceding and 1 preceding) as subject from tk)
   select listing, doc_id, subject, word as object, count(*) as n from s where tag in ('noun', 'adjective') and subject is not null group by all""")
 def _(t):
-    return graph.nearest_subject(tagged(t), KEYS).groupBy("listing", "doc_id", "subject", "object").agg(F.count(F.lit(1)).alias("n"))
+    return graph.nearest_subject(tagged(t, vocabulary(t)), KEYS).groupBy("listing", "doc_id", "subject", "object").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("gr7_entity_filter", f"with {PAIRS} select obj1, obj2, weight from weights where obj1 in ('the', 'and', 'of') or obj2 in ('the', 'and', 'of')")

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import Word2Vec
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from brambling.functions import text as T
@@ -116,12 +115,17 @@ def ranked_vectors(words: DataFrame, vectors: DataFrame) -> DataFrame:
 
 
 def doc_embedding(df: DataFrame, key: str, text: str, vectors: DataFrame) -> DataFrame:
-    """Mean vector of the known words of each document, null if it has none."""
-    counts = word_counts(df, key, text)
-    known = vectors.select("word", array_to_vector(F.col("vector").cast("array<double>")).alias("_v"))
-    means = (counts.join(sized(known), "word").groupBy(key)
-             .agg(vector_to_array(Summarizer.mean(F.col("_v"), F.col("n").cast("double"))).alias("embedding")))
-    return df.select(key).join(means, key, "left")
+    """Mean vector of the known words of each document, null if it has none.
+
+    The mean is one plain sum per dimension, which the hash aggregate keeps in its row; a vector
+    aggregate would fall back to sorting.
+    """
+    known = sized(vectors)
+    head = known.select(F.size("vector")).first()
+    sums = [F.sum(F.col("vector")[i].cast("double") * F.col("n")).alias(f"_d{i}") for i in range(head[0] if head else 0)]
+    added = (word_counts(df, key, text).join(known, "word").groupBy(key).agg(F.sum("n").alias("_n"), *sums))
+    mean = F.array(*[F.col(f"_d{i}") / F.col("_n") for i in range(len(sums))]).cast("array<double>")
+    return df.select(key).join(added.select(key, mean.alias("embedding")), key, "left")
 
 
 def train_word_vectors(df: DataFrame, text: str, size: int = 300, window: int = 30, min_count: int = 1, epochs: int = 5) -> DataFrame:

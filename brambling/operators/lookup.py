@@ -6,19 +6,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-BROADCAST_ROWS = 50_000
+from brambling.session import settle
 
+def sized(df: DataFrame) -> DataFrame:
+    """A lookup side whose size the planner knows.
 
-def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a frame for broadcast when it is shown to be small; else leave it for a shuffle join.
-
-    The frame is evaluated up to ``rows + 1`` rows.  If it fits, its rows become a local
-    relation, so the (often aggregated) source is not computed again.
+    The (often aggregated) frame is computed once and written; a written table has an exact size,
+    so it is broadcast below ``spark.sql.autoBroadcastJoinThreshold`` and shuffled beyond it.
     """
-    head = df.limit(rows + 1).collect()
-    if len(head) > rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(head, df.schema))
+    return settle(df)
 
 
 def lookup(df: DataFrame, params: DataFrame, key: str) -> DataFrame:

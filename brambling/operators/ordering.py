@@ -26,10 +26,6 @@ def sorted_blocks(df: DataFrame, order: list[Column | str]) -> DataFrame:
     return settle(placed)
 
 
-def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, (left[n].eqNullSafe(right[n]) for n in names))
-
-
 def running_sums(df: DataFrame, order: list[Column | str], sums: dict[str, Column],
                  by: list[str] | None = None) -> DataFrame:
     """Add inclusive running sums in ``order`` within each ``by`` group.
@@ -59,36 +55,81 @@ def number_rows(df: DataFrame, order: list[Column | str], name: str = "row_id",
             .withColumn(name, F.col(name).cast("bigint")))
 
 
+ACCURACY = 10_000
+
+
+def _melted(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
+    return (df.select(*by, F.explode(cells).alias("_cell")).select(*by, "_cell.column", "_cell.value")
+            .filter(F.col("value").isNotNull()))
+
+
+def _joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on keys that may be null."""
+    named = right.select(*[F.col(k).alias(f"_j_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_j_{k}")) for k in keys))
+    return left.join(named, on).drop(*[f"_j_{k}" for k in keys])
+
+
+def _between_ranks(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """Quantiles from rows (keys, prob, value, _n, _below, _size): ``_n`` rows hold the value and
+    ``_below`` rows come before the first value that is listed."""
+    group = [*keys, "prob"]
+    ranked = running_sums(counted, ["value"], {"_upto": F.col("_n")}, group)
+    upto = F.col("_upto") + F.col("_below")        # a value covers the 0-based positions [upto - _n, upto)
+    spot = (F.col("_size") - 1) * F.col("prob")
+    lower, upper = F.floor(spot), F.ceil(spot)
+    covers = lambda at: (at >= upto - F.col("_n")) & (at < upto)
+    return (ranked.groupBy(*group)
+            .agg(F.max(F.when(covers(lower), F.col("value"))).alias("_lo"),
+                 F.max(F.when(covers(upper), F.col("value"))).alias("_hi"), F.max(spot - lower).alias("_w"))
+            .select(*group, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_w")).alias("quantile")))
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
-                    by: list[str] | None = None) -> DataFrame:
+                    by: list[str] | None = None, accuracy: int = ACCURACY) -> DataFrame:
     """Exact linearly interpolated quantiles, one row per group, column and probability.
 
-    Values are counted first (so ties shrink before any shuffle); the distinct values are
-    then ranked by block.  No group is ever held in one task.
+    A sketch with a guaranteed rank error brackets each quantile; one more pass counts the rows
+    below the bracket and the values inside it, and only those (about 4 / accuracy of the rows,
+    ties counted once) are ranked.  Nothing else is shuffled or sorted.  Should a bracket miss,
+    all values are ranked instead.
     """
     by = by or []
-    long = (df.select(*by, F.explode(F.array(*[
-                F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]))
-                .alias("_cell"))
-            .select(*by, "_cell.column", "_cell.value").filter(F.col("value").isNotNull()))
-    counted = long.groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("_n"))
     keys = [*by, "column"]
-    ranked = running_sums(counted, ["value"], {"_upto": F.col("_n")}, keys)
-    sizes = (counted.groupBy(*keys).agg(F.sum("_n").alias("_size"))
-             .select(*[F.col(k).alias(f"_s_{k}") for k in keys], "_size"))
-    on = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys))
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
-    # a value covers the 0-based positions [_upto - _n, _upto)
-    spot = (F.col("_size") - 1) * F.col("prob")
-    lower, upper = F.floor(spot), F.ceil(spot)
-    covers = lambda at: (at >= F.col("_upto") - F.col("_n")) & (at < F.col("_upto"))
-    return (ranked.join(sizes, on).select(*keys, "value", "_n", "_upto", "_size", wanted.alias("prob"))
-            .filter(covers(lower) | covers(upper))
-            .groupBy(*keys, "prob")
-            .agg(F.max(F.when(covers(lower), F.col("value"))).alias("_lo"),
-                 F.max(F.when(covers(upper), F.col("value"))).alias("_hi"),
-                 F.max(spot - lower).alias("_w"))
-            .select(*keys, "prob", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_w")).alias("quantile")))
+    long = _melted(df, columns, by)
+    slack = 2.0 / accuracy
+    asked = [min(1.0, max(0.0, p + d)) for p in probs for d in (-slack, slack)]
+    sketch = F.percentile_approx("value", asked, accuracy)
+    edge = lambda i, open_: F.lit(None).cast("double") if open_ else F.col("_cuts")[i]
+    targets = F.array(*[F.struct(F.lit(float(p)).alias("prob"), edge(2 * i, p - slack <= 0).alias("lo"),
+                                 edge(2 * i + 1, p + slack >= 1).alias("hi")) for i, p in enumerate(probs)])
+    brackets = settle(long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"), sketch.alias("_cuts"))
+                      .select(*keys, "_size", targets.alias("_targets")))
+    met = _joined(long, brackets.select(*keys, "_targets"), keys)
+    value = F.col("value")
+    below = met.groupBy(*keys).agg(*[
+        F.count_if(value < F.col("_targets")[i]["lo"]).alias(f"_b{i}") for i in range(len(probs))])
+    inside = F.filter("_targets", lambda t: (t["lo"].isNull() | (value >= t["lo"])) & (t["hi"].isNull() | (value <= t["hi"])))
+    counted = (met.select(*keys, "value", F.explode(F.transform(inside, lambda t: t["prob"])).alias("prob"))
+               .groupBy(*keys, "prob", "value").agg(F.count(F.lit(1)).alias("_n")))
+    cells = F.explode(F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.col(f"_b{i}").alias("_below")) for i, p in enumerate(probs)]))
+    offsets = below.select(*keys, cells.alias("_o")).select(*keys, "_o.prob", "_o._below")
+    sizes = brackets.select(*keys, "_size")
+    found = _between_ranks(_joined(_joined(counted, offsets, [*keys, "prob"]), sizes, keys), keys)
+    out = settle(found)
+    if out.filter(F.col("quantile").isNull()).isEmpty():
+        return out
+    return _ranked_quantiles(long, keys, probs)
+
+
+def _ranked_quantiles(long: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """Quantiles from a full ranking of the distinct values."""
+    counted = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    asked = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
+    every = _joined(counted, sizes, keys).withColumns({"prob": asked, "_below": F.lit(0)})
+    return _between_ranks(every, keys)
 
 
 def quantiles_wide(df: DataFrame, columns: list[str], named: dict[str, float],

@@ -20,7 +20,7 @@ def build_corpus(reviews: DataFrame, key: str, listing: str, text: str, model: D
 
 def rank_listings(clauses: DataFrame, listing: str, key: str, text: str, queries: list[str], weights: list[float]) -> tuple[DataFrame, DataFrame]:
     """Ranked listings and, per listing and criterion, the clause that speaks for it."""
-    hits = search.criteria_candidates(clauses.select(listing, key, text), queries, F.col(text))
+    hits = settle(search.criteria_candidates(clauses.select(listing, key, text), queries, F.col(text)))
     scores = settle(search.hamming_score(hits, text))
     return (search.multi_criteria_rank(clauses, listing, scores, weights),
             search.best_evidence(scores, listing, key, text))

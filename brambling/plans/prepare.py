@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brambling.operators import encode
 from brambling.operators.cleanse import cap_dict
-from brambling.operators.lookup import lookup
+from brambling.operators.lookup import sized
+from brambling.session import settle
 from brambling.sources.tables import load_fit, save_fit
 
 
@@ -45,7 +46,7 @@ class Fitted:
 
     def filled(self, df: DataFrame) -> DataFrame:
         for column, name in self.recipe.coded:
-            df = lookup(df, self.codes[name], column)
+            df = df.join(self.codes[name], column, "left")
         return encode.impute(df, self.medians)
 
     def apply(self, df: DataFrame) -> DataFrame:
@@ -76,13 +77,14 @@ class Fitted:
 
 
 def fit(recipe: Recipe, train: DataFrame) -> Fitted:
-    start = recipe.start(train)
+    start = settle(recipe.start(train))     # every fit step below reads this once-cleaned table
     codes = {f"{c}_code": encode.fit_ordinal(start, c, recipe.target, f"{c}_code") for c in recipe.ordinal}
     for c in recipe.class_ratio:
         codes[f"{c}_ratio"] = encode.fit_class_ratio(start, c, recipe.target).withColumnRenamed("ratio", f"{c}_ratio")
+    codes = {name: sized(table) for name, table in codes.items()}
     coded = start
     for column, name in recipe.coded:
-        coded = lookup(coded, codes[name], column)
+        coded = coded.join(codes[name], column, "left")
     medians = encode.fit_medians(coded, list(recipe.impute)) if recipe.impute else {}
     filled = encode.impute(coded, medians)
     return Fitted(recipe, codes, medians, encode.fit_ranges(filled, list(recipe.numeric)),

@@ -18,6 +18,16 @@ class Tables:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out when a table comes in fewer pieces than there are cores.
+
+    A file with one large row group is read by one task; heavy work per row (text) should not stay
+    there.  A table in enough pieces is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header line; any URI Spark can read, local or object store."""
     return spark.read.schema(schema).option("header", True).csv(path)
