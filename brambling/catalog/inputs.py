@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from brambling.functions import columns as C
-from brambling.sources.tables import Tables
+from brambling.sources.tables import Tables, spread
 
 
 def house(t: Tables) -> DataFrame:
     """Sales: one row per line item with the attributes of its part."""
-    return (t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", "l_shipdate")
+    return (spread(lines).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
             .select(F.col("l_orderkey").alias("sale_id"), F.col("l_linenumber").alias("line"),
                     F.col("l_extendedprice").alias("price"), F.col("p_brand").alias("brand"),
                     F.col("p_type").alias("kind"), F.col("l_quantity").alias("quantity"),

@@ -110,8 +110,10 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     value = F.col("value")
     below = met.groupBy(*keys).agg(*[
         F.count_if(value < F.col("_targets")[i]["lo"]).alias(f"_b{i}") for i in range(len(probs))])
-    inside = F.filter("_targets", lambda t: (t["lo"].isNull() | (value >= t["lo"])) & (t["hi"].isNull() | (value <= t["hi"])))
-    counted = (met.select(*keys, "value", F.explode(F.transform(inside, lambda t: t["prob"])).alias("prob"))
+    edges = [(F.col("_targets")[i]["lo"], F.col("_targets")[i]["hi"]) for i in range(len(probs))]
+    inside = [(lo.isNull() | (value >= lo)) & (hi.isNull() | (value <= hi)) for lo, hi in edges]
+    picked = F.array_compact(F.array(*[F.when(c, F.lit(float(p))) for c, p in zip(inside, probs)]))
+    counted = (met.filter(reduce(lambda a, b: a | b, inside)).select(*keys, "value", F.explode(picked).alias("prob"))
                .groupBy(*keys, "prob", "value").agg(F.count(F.lit(1)).alias("_n")))
     cells = F.explode(F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.col(f"_b{i}").alias("_below")) for i, p in enumerate(probs)]))
     offsets = below.select(*keys, cells.alias("_o")).select(*keys, "_o.prob", "_o._below")
