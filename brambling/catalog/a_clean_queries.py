@@ -157,7 +157,7 @@ def _(t):
 
 @query("pf26_row_id", """select row_number() over (order by doc_id) as row_id, doc_id, lower(text) as text from documents""")
 def _(t):
-    return cleanse.number_texts(t.documents.select("doc_id", "text"), "text", ["doc_id"])
+    return cleanse.number_texts(t.documents.select("doc_id", "text"), "text", "doc_id")
 
 
 @query("j1_left_merge", """select c_custkey, coalesce(n, 0) as n, coalesce(total, 0) as total, coalesce(last_n, 0) as last_n

@@ -48,7 +48,10 @@ def cap_dict(df: DataFrame, caps: Mapping[str, float]) -> DataFrame:
     return df.withColumns({c: C.clamp_top(F.col(c), t) for c, t in caps.items()})
 
 
-def number_texts(df: DataFrame, text: str, order: list[str], name: str = "row_id") -> DataFrame:
-    """Running number and lower-cased text; rows without text are dropped first."""
-    kept = df.filter(F.col(text).isNotNull()).withColumn(text, F.lower(text))
-    return number_rows(kept, order, name)
+def number_texts(df: DataFrame, text: str, key: str, name: str = "row_id") -> DataFrame:
+    """Running number in order of a unique key, and lower-cased text; rows without text are dropped first.
+
+    Only the keys are sorted; the texts meet their numbers in one join.
+    """
+    kept = df.filter(F.col(text).isNotNull())
+    return kept.withColumn(text, F.lower(text)).join(number_rows(kept.select(key), [key], name), key)

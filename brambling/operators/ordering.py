@@ -143,17 +143,29 @@ def quantiles_wide(df: DataFrame, columns: list[str], named: dict[str, float],
         F.max(F.when(F.col("prob") == F.lit(float(p)), F.col("quantile"))).alias(n) for n, p in named.items()])
 
 
+FEW = 1_000  # up to here every task keeps only its best rows (the optimizer's own limit for groups)
+
+
 def top_k(df: DataFrame, order: list[Column | str], k: int) -> DataFrame:
-    """First ``k`` rows in ``order``."""
-    return df.orderBy(*order).limit(k)
+    """First ``k`` rows in total ``order``.
+
+    A small ``k`` is kept per task and merged; a large one would send k rows of every task to one
+    place, so the rows are numbered by block instead.
+    """
+    if k <= FEW:
+        return df.orderBy(*order).limit(k)
+    return number_rows(df, order, "_top").filter(F.col("_top") <= k).drop("_top")
 
 
 def top_k_per_group(df: DataFrame, by: list[str], order: list[Column | str], k: int,
                     rank: str = "rank") -> DataFrame:
     """First ``k`` rows of every group.
 
-    A filter on ``row_number`` lets the optimizer cut each group to ``k`` rows per task
-    before the shuffle (window group limit), so a hot group sends little.
+    For a small ``k`` the optimizer turns the filter on ``row_number`` into a limit per task before
+    the shuffle (window group limit), so a hot group sends little; for a large one the group is
+    numbered by block.
     """
+    if k > FEW:
+        return number_rows(df, order, rank, by).filter(F.col(rank) <= k)
     w = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(w).cast("bigint")).filter(F.col(rank) <= k)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from brambling.functions import columns as C
-from brambling.operators.ordering import number_rows, top_k_per_group
+from brambling.operators.ordering import number_rows, top_k, top_k_per_group
 
 
 def hash_split(df: DataFrame, key: str, test_percent: int = 20, seed: int = 42) -> DataFrame:
@@ -24,9 +24,22 @@ def stratified_split(df: DataFrame, key: str, label: str, test_share: float = 0.
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """``n`` rows by smallest hash; everything when there are fewer."""
-    return (df.withColumn("_h", C.hash_number(F.col(key), seed=seed))
-            .orderBy("_h", key).limit(n).drop("_h"))
+    """``n`` rows by smallest hash; everything when there are fewer.
+
+    Rows are counted in 65,536 ranges of the hash first, which tells below which hash the sample
+    lies; only those rows are ordered.
+    """
+    hashed = df.withColumn("_h", C.hash_number(F.col(key), seed=seed))
+    width = 1 << 16
+    counts = hashed.groupBy(F.floor(F.col("_h") / width).alias("r")).agg(F.count(F.lit(1)).alias("n")).collect()
+    seen, bound = 0, None
+    for r, count in sorted((row["r"], row["n"]) for row in counts):
+        seen += count
+        if seen >= n:
+            bound = (r + 1) * width
+            break
+    near = hashed if bound is None else hashed.filter(F.col("_h") < bound)
+    return (near if bound is None else top_k(near, ["_h", key], n)).drop("_h")
 
 
 def consecutive_folds(df: DataFrame, order: list[Column | str], k: int, name: str = "fold") -> DataFrame:

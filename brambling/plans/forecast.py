@@ -32,7 +32,7 @@ def lag_forecast(bars: DataFrame, test_start: str, lags: int = 60, b: Blocks = B
     types = {f.name: f.dataType.simpleString() for f in bars.schema.fields}
 
     def recurse(batches):
-        w = np.array(weights)
+        w, names = np.array(weights), [*b.keys, "pos", "forecast"]
         for pdf in batches:
             rows = []
             for row in pdf.to_dict("records"):
@@ -41,7 +41,10 @@ def lag_forecast(bars: DataFrame, test_start: str, lags: int = 60, b: Blocks = B
                     value = float(window @ w + bias)
                     rows.append((*[row[k] for k in b.keys], pos, value))
                     window = np.append(window[1:], value)
-            yield pd.DataFrame(rows, columns=[*b.keys, "pos", "forecast"])
+                    if len(rows) >= 10_000:      # a long horizon leaves in pieces
+                        yield pd.DataFrame(rows, columns=names)
+                        rows = []
+            yield pd.DataFrame(rows, columns=names)
 
     keys = ", ".join(f"`{k}` {types[k]}" for k in b.keys)
     ahead = first.mapInPandas(recurse, f"{keys}, pos bigint, forecast double")

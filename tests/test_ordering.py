@@ -67,3 +67,24 @@ def test_top_k_per_group_limits_before_the_shuffle(skewed):
     assert df.groupBy("g").count().filter("count <> 3").isEmpty()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_large_limits_and_samples_are_exact(skewed, monkeypatch):
+    pdf, df = skewed
+    monkeypatch.setattr(O, "FEW", 10)
+    assert sorted(r.id for r in O.top_k(df, [F.desc("id")], 25).collect()) == list(range(875, 900))
+    assert O.top_k_per_group(df, ["g"], ["id"], 20).groupBy("g").count().filter("count <> 20").isEmpty()
+    whole = [r.id for r in df.select("id", split.C.hash_number(F.col("id")).alias("h")).orderBy("h", "id").limit(50).collect()]
+    assert sorted(r.id for r in split.sample_rows(df, "id", 50).collect()) == sorted(whole)
+    assert split.sample_rows(df, "id", 5000).count() == 900
+
+
+def test_quantiles_survive_a_bracket_that_misses(skewed, monkeypatch):
+    pdf, df = skewed
+    keys = ["column"]
+    full = O._ranked_quantiles(O._melted(df, ["v"], []), keys, [.5, .9]).collect()
+    for row in full:
+        assert row["quantile"] == pytest.approx(pdf.v.quantile(row["prob"]))
+    coarse = O.exact_quantiles(df, ["v", "id"], [.25, .5], accuracy=3).collect()
+    for row in coarse:
+        assert row["quantile"] == pytest.approx(pdf[row["column"]].quantile(row["prob"]))
