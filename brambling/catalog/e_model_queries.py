@@ -385,3 +385,12 @@ def _(t):
 def _(t):
     folds = split.consecutive_folds(house(t).select("sale_id", "line", "price", *NUM), ["sale_id", "line", "price", *NUM], 5)
     return M.cross_validate(folds, "price", NUM, "fold", 5)
+
+
+@query("ev2_cross_validate_line", f"""with {HOUSE}, f as (select price, quantity, ntile(5) over (order by sale_id, line, price, quantity, size, retail) - 1 as fold from house),
+  fit as (select k as fold, regr_slope(price, quantity) as a, regr_intercept(price, quantity) as b from f, range(5) r(k) where f.fold <> k group by k),
+  m as (select fold, avg(price) as m from f group by fold), e as (select fold, price - (a * quantity + b) as e, price - m as d from f join fit using (fold) join m using (fold))
+  select fold::int as fold, round(1 - sum(e * e) / sum(d * d), 4) + 0.0::double as r2, round(sqrt(avg(e * e)), 4) as rmse from e group by fold""")
+def _(t):
+    folds = split.consecutive_folds(house(t).select("sale_id", "line", "price", *NUM), ["sale_id", "line", "price", *NUM], 5)
+    return r(M.cross_validate(folds, "price", ["quantity"], "fold", 5), "r2", digits=4)

@@ -80,14 +80,17 @@ def _(t):
 LANGS = ["de", "en", "es", "fr"]
 
 
-@query("tx5_keep_language", rf"""with w as (select doc_id, lang, unnest(string_split_regex(lower(text), '[^\p{{L}}]+')) as word from documents), wc as (select doc_id, lang, word, count(*) as n from w where word <> '' group by all),
+LANGUAGE = rf"""w as (select doc_id, lang, unnest(string_split_regex(lower(text), '[^\p{{L}}]+')) as word from documents), wc as (select doc_id, lang, word, count(*) as n from w where word <> '' group by all),
   v as (select distinct word, ' ' || word || ' ' as p from wc), g0 as (select word, p, unnest(range(1, length(word) + 1)) as i from v), g as (select word, substr(p, i::bigint, 3) as gram, count(*) as k from g0 group by all),
   bl as (select lang, word, sum(n) as n from wc where not {is_test_sql('doc_id')} group by all), c as (select lang, gram, sum(n * k) as c from bl join g using (word) group by all),
   tot as (select lang, sum(c) as t from c group by lang), vs as (select count(distinct gram) as v from c),
   m as (select l.lang, g.gram, ln((coalesce(c.c, 0) + 1) / (t + v + 1)) as p from tot l, vs, (select distinct gram from c) g left join c on c.gram = g.gram and c.lang = l.lang),
   ws as (select word, l.lang, sum(k * coalesce(p, ln(1 / (t + v + 1)))) as s from g cross join tot l cross join vs left join m on m.gram = g.gram and m.lang = l.lang group by all),
-  ds as (select wc.doc_id, ws.lang, round(sum(n * s), 6) as s from wc join ws using (word) group by all)
-  select doc_id, documents.lang, arg_max(ds.lang, (s, ds.lang)) as detected from documents join ds using (doc_id) group by doc_id, documents.lang having detected = 'en'""")
+  ds as (select wc.doc_id, ws.lang, round(sum(n * s), 6) as s from wc join ws using (word) group by all),
+  det as (select doc_id, documents.lang, arg_max(ds.lang, (s, ds.lang)) as detected from documents join ds using (doc_id) group by doc_id, documents.lang)"""
+
+
+@query("tx5_keep_language", f"with {LANGUAGE} select doc_id, lang, detected from det where detected = 'en'")
 def _(t):
     d = texts(t).select("doc_id", "text", "lang")
     model = corpus.fit_language(d.filter(~is_test("doc_id")), "doc_id", "text", "lang", LANGS)
@@ -123,7 +126,8 @@ def _(t):
     return clauses(t)
 
 
-@query("tx10_corpus_build")
+@query("tx10_corpus_build", f"""with {LANGUAGE}, {CLAUSES} select listing, doc_id, sentence_no, clause_no, clause, word_count,
+  array_to_string(list_filter({words_sql('clause')}, lambda x: x not in ({STOP})), ' ') as text_clean from clauses where doc_id in (select doc_id from det where detected = 'en')""")
 def _(t):
     d = docs(t)
     model = corpus.fit_language(d.filter(~is_test("doc_id")), "doc_id", "text", "lang", LANGS)

@@ -101,7 +101,8 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     slack = 2.0 / accuracy
     asked = [min(1.0, max(0.0, p + d)) for p in probs for d in (-slack, slack)]
     sketch = F.percentile_approx("value", asked, accuracy)
-    edge = lambda i, open_: F.lit(None).cast("double") if open_ else F.col("_cuts")[i]
+    # groups no larger than the sketch's resolution are ranked whole
+    edge = lambda i, open_: F.lit(None).cast("double") if open_ else F.when(F.col("_size") > accuracy, F.col("_cuts")[i])
     targets = F.array(*[F.struct(F.lit(float(p)).alias("prob"), edge(2 * i, p - slack <= 0).alias("lo"),
                                  edge(2 * i + 1, p + slack >= 1).alias("hi")) for i, p in enumerate(probs)])
     brackets = settle(long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"), sketch.alias("_cuts"))
