@@ -49,12 +49,12 @@ def _table(df: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
 
 def ols(df: DataFrame, y: str, features: list[str]) -> DataFrame:
     """Least squares with a constant: estimate, standard error, t, p per term, and R2 of the fit."""
-    data = assemble(df, features, [y])
-    model = LinearRegression(labelCol=y, solver="normal", regParam=0.0).fit(data)
-    s = model.summary
-    estimates = [*map(float, model.coefficients), float(model.intercept)]
-    rows = [(name, e, float(se), float(t), float(p), float(s.r2)) for name, e, se, t, p in zip(
-        [*features, "const"], estimates, s.coefficientStandardErrors, s.tValues, s.pValues)]
+    with cached(assemble(df, features, [y])) as data:     # the summary reads the rows again
+        model = LinearRegression(labelCol=y, solver="normal", regParam=0.0).fit(data)
+        s = model.summary
+        estimates = [*map(float, model.coefficients), float(model.intercept)]
+        rows = [(name, e, float(se), float(t), float(p), float(s.r2)) for name, e, se, t, p in zip(
+            [*features, "const"], estimates, s.coefficientStandardErrors, s.tValues, s.pValues)]
     return _table(df, rows, "term string, estimate double, std_error double, t double, p double, r2 double")
 
 
@@ -69,10 +69,11 @@ def _logit(data: DataFrame, y: str):
 
 def logit_inference(df: DataFrame, y: str, features: list[str]) -> DataFrame:
     """Logistic coefficients with standard error, z and p."""
-    model = _logit(assemble(df, features, [y]), y)
-    s = model.summary
-    rows = [(n, float(e), float(se), float(z), float(p)) for n, e, se, z, p in zip(
-        [*features, "const"], [*model.coefficients, model.intercept], s.coefficientStandardErrors, s.tValues, s.pValues)]
+    with cached(assemble(df, features, [y])) as data:
+        model = _logit(data, y)
+        s = model.summary
+        rows = [(n, float(e), float(se), float(z), float(p)) for n, e, se, z, p in zip(
+            [*features, "const"], [*model.coefficients, model.intercept], s.coefficientStandardErrors, s.tValues, s.pValues)]
     return _table(df, rows, "term string, estimate double, std_error double, z double, p double")
 
 
