@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from brambling.llm.common import col, row_tag
+from brambling.llm.common import col, row_tag, settle
 from brambling.operators.ordering import number_rows
 
 MAX_LENGTH = 4096
@@ -180,6 +180,6 @@ def pack(pieces: DataFrame) -> DataFrame:
 
     A sequence is one piece, so ``offset`` is 0 and no place is padded.
     """
-    tagged = pieces.withColumn("tag", row_tag())
+    tagged = settle(pieces).withColumn("tag", row_tag())   # written first: sorting reads its input twice
     numbered = number_rows(tagged, [F.desc("length"), F.xxhash64("doc_id"), "doc_id", "start", "ids_crc32", "tag"], "sequence_id")
     return numbered.drop("tag").withColumns({"sequence_id": F.col("sequence_id") - 1, "offset": F.lit(0).cast("long")})
