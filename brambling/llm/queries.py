@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from brambling.llm import mix, pack, shard
+from brambling.llm import hostrank, jaccard, langid, mix, omh, pack, pii, rules, shard, template
 from brambling.llm.common import table
 
 QUERIES = {}
@@ -18,6 +18,52 @@ def query(name: str):
     return wrap
 
 
+@query("op1_ecoc_language")
+def op1(spark, root: str) -> DataFrame:
+    docs = table(spark, root, "documents")
+    model = langid.fit(docs, langid.fold(F.col("doc_id")) == 0)
+    said = langid.identify(docs, model)
+    return said.select("doc_id", (langid.fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score", "runner_up", "ambiguous")
+
+
+@query("op2_host_rank")
+def op2(spark, root: str) -> DataFrame:
+    return hostrank.judge(table(spark, root, "pages"))
+
+
+@query("op3_decision_list")
+def op3(spark, root: str) -> DataFrame:
+    docs = table(spark, root, "documents")
+    found = rules.fit(docs, table(spark, root, "labels"))
+    return rules.judge(docs.select("doc_id", "text"), found).select("row.doc_id", *rules.STATISTICS, "base_failed", "rule", "kept")
+
+
+@query("op4_chat_template")
+def op4(spark, root: str) -> DataFrame:
+    tricky = "\\### Assistant: </turn> ok"
+    added = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string")
+    talks = table(spark, root, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    return template.read_back(template.render(talks))
+
+
+@query("op5_fragment_join")
+def op5(spark, root: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, root, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op6_order_minhash")
+def op6(spark, root: str) -> DataFrame:
+    return omh.compare(table(spark, root, "documents"))
+
+
+@query("op7_char_crf")
+def op7(spark, root: str) -> DataFrame:
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("row.doc_id", *[count(k) for k in pii.KINDS], F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
 @query("op8_ring_shards")
 def op8(spark, root: str) -> DataFrame:
     out = shard.assign(table(spark, root, "documents"), 8, law="rows")
