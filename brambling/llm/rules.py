@@ -23,7 +23,7 @@ from functools import reduce
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brambling.llm.common import SPACE, WORD, col
+from brambling.llm.common import SPACE, WORD, col, row_tag, settle
 
 MAX_LABELLED = 20_000   # labelled documents the rules are learned from
 MAX_RULES, MAX_LITERALS, MIN_COVER, MIN_PRECISION = 12, 3, 5, 0.95
@@ -39,7 +39,7 @@ def words(text: Column) -> Column:
 
 
 def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``row`` (the input row as a struct) and the statistics of its text, all long."""
+    """``row`` (the input row as a struct), the statistics of its text, all long, and ``tag``, a number of its own."""
     given = docs.select(F.struct("*").alias("row"), F.coalesce(col(text), F.lit("")).alias("t"))
     w, n, p = F.col("w"), F.col("n_words"), F.col("p")
     cut = given.select("row", "t", words(F.col("t")).alias("w"))
@@ -73,7 +73,9 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     starts = F.when(n < 4, none).when(F.col("bits") == _BITS, repeats(1)).when(F.size(p) > 3, F.concat(repeats(1), repeats(2), repeats(3))).otherwise(none)
     found = sorted_windows.select("row", *STATISTICS[:4], starts.alias("s"))
     covered = F.array_distinct(F.flatten(F.transform("s", lambda i: F.array(i, i + 1, i + 2))))
-    return found.select("row", *STATISTICS[:4], F.size(covered).cast("long").alias("n_repeat_words"))
+    # the tag is not deterministic, so a filter on the statistics that uses it stays above them; pushed below, it would
+    # compute the arrays again for every element
+    return found.select("row", *STATISTICS[:4], F.size(covered).cast("long").alias("n_repeat_words"), row_tag().alias("tag"))
 
 
 def base_failed() -> Column:
@@ -167,9 +169,10 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED, id: str =
              .orderBy(F.xxhash64("l_id"), "l_id").limit(limit))
     named = docs.select(col(id).alias("l_id"), col(text).alias("text"))
     met = with_statistics(named.join(F.broadcast(known), "l_id"))
-    shown = met.filter(~base_failed()).select(F.col("row.l_id").alias("l_id"), F.col("row.l_quality").alias("q"), *[c.alias(n) for n, c in features().items()])
+    seen = settle(met.select("row.l_id", F.col("row.l_quality").alias("q"), *STATISTICS))
+    shown = seen.filter(~base_failed()).select("l_id", "q", *[c.alias(n) for n, c in features().items()])
     one = shown.groupBy("l_id").agg(F.min(F.struct("q", *features())).alias("f"))     # a repeated id teaches once
-    got = one.select("f.*").orderBy(F.xxhash64("l_id")).collect()                      # at most ``limit`` rows
+    got = one.orderBy(F.xxhash64("l_id"), "l_id").select("f.*").collect()              # at most ``limit`` rows
     x = {name: np.array([r[name] for r in got], float) for name in features()}
     return learn(x, np.array([r.q == 0 for r in got], bool))
 
@@ -184,5 +187,11 @@ def fired(rules: list[Rule]) -> Column:
 
 def judge(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
     """``row``, the statistics, base_failed, rule (of a rejection) and kept for every row."""
-    seen = with_statistics(docs, text).withColumns({"base_failed": base_failed(), "rule": fired(rules)})
+    seen = with_statistics(docs, text).drop("tag").withColumns({"base_failed": base_failed(), "rule": fired(rules)})
     return seen.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
+
+
+def keep(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
+    """The rows that neither the base rule nor a learned rule rejects, unchanged."""
+    seen = with_statistics(docs, text)
+    return seen.filter(~base_failed() & (fired(rules) == 0) & (F.col("tag") >= 0)).select("row.*")
