@@ -186,11 +186,8 @@ def link_classes(sets: DataFrame, threshold: int = THRESHOLD, fragments: int = F
     return found if found is not None else prefix.select(F.col("cls").alias("node"), F.col("cls").alias("component")).limit(0)
 
 
-def near_duplicates(docs: DataFrame, n: int = 5, threshold: int = THRESHOLD, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, first_of_class, cls) for every row of ``docs``.
-
-    ``component_id`` is the smallest id that links reach from the row's text, its own included.
-    """
+def _resolve(docs: DataFrame, n: int, threshold: int, id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Signatures of all rows, and (cls, component, component_id) of every class."""
     signed = settle(signatures(docs, n, id, text))
     classes = settle(signed.filter(F.col("cls").isNotNull()).groupBy("cls").agg(F.max("n_shingles").alias("n"), F.min("doc_id").alias("rep")))
     alive = settle(_survivors(docs, classes, n, text, threshold))
@@ -200,6 +197,33 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: int = THRESHOLD, id:
     linked = link_classes(sets, threshold)
     named = classes.join(linked.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    of_class = settle(named.join(smallest, "component").select("cls", "component_id"))
+    return signed, settle(named.join(smallest, "component").select("cls", "component", "component_id"))
+
+
+def near_duplicates(docs: DataFrame, n: int = 5, threshold: int = THRESHOLD, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs``.
+
+    ``component_id`` is the smallest id that links reach from the row's text, its own included.
+    """
+    signed, of_class = _resolve(docs, n, threshold, id, text)
     out = signed.join(of_class, "cls", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce(F.when(F.col("cls").isNotNull(), F.col("component_id")), "doc_id").alias("component_id"), "cls")
+    return out.select("doc_id", "n_shingles", F.coalesce(F.when(F.col("cls").isNotNull(), F.col("component_id")), "doc_id").alias("component_id"))
+
+
+def deduplicate(docs: DataFrame, n: int = 5, threshold: int = THRESHOLD, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with one of each component: its smallest id.  Texts without words all stay.
+
+    Rows whose id is null or repeated cannot be named by it; these few are told apart by their texts.
+    """
+    signed, of_class = _resolve(docs, n, threshold, id, text)
+    many = signed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).filter((F.col("k") > 1) | F.col("doc_id").isNull()).select(F.col("doc_id").alias("_many"))
+    many = settle(many)
+    beaten = (signed.join(of_class, "cls").filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_many")))
+    rows = docs.select(F.struct("*").alias("row"), col(id).alias("_id"), col(text).alias("_text"))
+    plain = rows.join(beaten.union(many), F.col("_id").eqNullSafe(F.col("_many")), "left_anti").select("row.*")
+    shared = rows.join(many, F.col("_id").eqNullSafe(F.col("_many")), "left_semi")
+    named = signatures(shared, n, "row", "_text").withColumnRenamed("doc_id", "row").withColumn("_id", F.col("row")[id])
+    met = named.join(of_class, "cls", "left").filter(F.col("cls").isNull() | F.col("_id").eqNullSafe(F.col("component_id")))
+    alone = met.filter(F.col("cls").isNull()).select("row.*")
+    one = met.filter(F.col("cls").isNotNull()).groupBy("component").agg(F.first("row").alias("row")).select("row.*")
+    return plain.unionByName(alone).unionByName(one)

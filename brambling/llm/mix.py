@@ -138,3 +138,9 @@ def mix(docs: DataFrame, members: Column, weights: tuple[int, ...] = WEIGHTS, re
     met = given.join(F.broadcast(decided), "pattern", "left")
     chosen = met.withColumn("copies", F.when(F.col("size") > 0, F.col("whole") + more).otherwise(0))
     return chosen.select("row", "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def mixed_rows(docs: DataFrame, members: Column, **options) -> DataFrame:
+    """The rows of ``docs`` as the mix holds them: repeated, once, or not at all."""
+    chosen = mix(docs, members, **options).filter(F.col("copies") > 0)
+    return chosen.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from brambling.llm.common import col
 
@@ -436,7 +436,7 @@ def _spans(texts: list[str | None], net: Network | None) -> list[tuple[list[dict
     return out
 
 
-def joined(spans) -> "Column":
+def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
@@ -448,3 +448,17 @@ def redact(text: str, spans: list[dict]) -> str:
             out += [text[end:s["start"]], f"[{s['kind'].upper()}]"]
         end = max(end, s["end"])
     return "".join([*out, text[end:]])
+
+
+def redacted(docs: DataFrame, net: Network | None, text: str = "text", length: str = "n_chars") -> DataFrame:
+    """The rows of ``docs`` with personal data replaced; ``length``, if there, follows the new text."""
+    @F.pandas_udf("string")
+    def clean(texts, spans):
+        import pandas as pd
+        return pd.Series([t if t is None or s is None else redact(t, s) for t, s in zip(texts, spans)], dtype=object)
+
+    found = find(docs, net, text)
+    some = F.size("spans") > 0
+    done = found.withColumn("clean", F.coalesce(clean(F.when(some, F.col("row")[text]), F.when(some, F.col("spans"))), F.col("row")[text]))
+    new = {text: F.col("clean"), length: F.coalesce(F.length("clean").cast("long"), F.lit(0).cast("long"))}
+    return done.select(*[new[c].cast(t).alias(c) if c in new else F.col("row")[c].alias(c) for c, t in docs.dtypes])

@@ -48,7 +48,7 @@ def op4(spark, root: str) -> DataFrame:
 
 @query("op5_fragment_join")
 def op5(spark, root: str) -> DataFrame:
-    return jaccard.near_duplicates(table(spark, root, "documents")).select("doc_id", "n_shingles", "component_id")
+    return jaccard.near_duplicates(table(spark, root, "documents"))
 
 
 @query("op6_order_minhash")
