@@ -33,11 +33,11 @@ def source_order(sources: list[str | None]) -> list[str | None]:
     return sorted((s for s in sources if s is not None)) + [None] * (None in sources)
 
 
-def targets(sizes: dict[str | None, int], weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS) -> dict[str | None, float]:
-    """Share the words of all sources by weight; no target above ``repeats`` times its source."""
+def targets(sizes: dict[str | None, int], total: int, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS) -> dict[str | None, float]:
+    """Share ``total`` words by weight; no target above ``repeats`` times its source."""
     order = source_order(list(sizes))
     weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
-    left, active, out = float(sum(sizes.values())), list(order), {}
+    left, active, out = float(total), list(order), {}
     while active:
         whole = sum(weight[s] for s in active)
         full = [s for s in active if left * weight[s] / whole > repeats * sizes[s]]
@@ -121,7 +121,7 @@ def mix(docs: DataFrame, members: Column, weights: tuple[int, ...] = WEIGHTS, re
     for p, n in counted.items():
         for s in sets[p]:
             sizes[s] = sizes.get(s, 0) + n
-    quota = targets(sizes, weights, repeats)
+    quota = targets(sizes, sum(n for p, n in counted.items() if sets[p]), weights, repeats)   # shared documents count once
     taken = route({sets[p]: n for p, n in counted.items() if sets[p]}, quota, repeats)
     plan = []
     for p, n in counted.items():
