@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from brambling.llm.common import col, settle
 from brambling.llm.components import components
@@ -48,7 +48,7 @@ def _least_shared(n: Column, threshold: int) -> Column:
 def signatures(docs: DataFrame, n: int = 5, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, cls) per row; ``cls`` is null for a text without words."""
     given = docs.select(col(id).alias("doc_id"), col(text).alias("text"))
-    kind = given.schema["doc_id"].dataType.simpleString()
+    schema = T.StructType([given.schema["doc_id"], *T.StructType.fromDDL("n_shingles long, cls long")])
 
     def sign(batches):
         for b in batches:
@@ -57,7 +57,7 @@ def signatures(docs: DataFrame, n: int = 5, id: str = "doc_id", text: str = "tex
                 size[i], cls[i], there[i] = len(grams), np.uint64(whole).astype(np.int64), 1
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(cls, mask=there == 0)], names=["doc_id", "n_shingles", "cls"])
 
-    return given.mapInArrow(sign, f"doc_id {kind}, n_shingles long, cls long")
+    return given.mapInArrow(sign, schema)
 
 
 def _sliced(docs: DataFrame, n: int, text: str, share: float) -> DataFrame:
