@@ -368,7 +368,7 @@ def _(t):
 
 @query("ml23_cluster_view")
 def _(t):
-    v = split.sample_rows(vectors(t), "vec_id", 30000)
+    v = vectors(t)
     two, _ = M.principal_components(v, k=2)
     clusters = M.kmeans(v, 10).transform(v).select("vec_id", F.col("prediction").alias("cluster"))
     return (two.join(clusters, "vec_id").select("vec_id", "label", "cluster", F.col("scores")[0].alias("x"), F.col("scores")[1].alias("y")))
@@ -387,6 +387,16 @@ def _(t):
     return M.cross_validate(folds, "price", NUM, "fold", 5)
 
 
+@query("ev2_cross_validate_means", f"""with {HOUSE}, f as (select price, quantity, ntile(5) over (order by sale_id, line, price, quantity, size, retail) - 1 as fold from house),
+  fit as (select k as fold, regr_slope(price, quantity) as a, regr_intercept(price, quantity) as b from f, range(5) r(k) where f.fold <> k group by k),
+  m as (select fold, avg(price) as m from f group by fold), e as (select fold, price - (a * quantity + b) as e, price - m as d from f join fit using (fold) join m using (fold)),
+  s as (select fold, 1 - sum(e * e) / sum(d * d) as r2, sqrt(avg(e * e)) as rmse from e group by fold)
+  select round(avg(r2), 4) + 0.0::double as mean_r2, round(avg(rmse), 4) as mean_rmse from s""")
+def _(t):
+    folds = split.consecutive_folds(house(t).select("sale_id", "line", "price", *NUM), ["sale_id", "line", "price", *NUM], 5)
+    return r(M.fold_means(M.cross_validate(folds, "price", ["quantity"], "fold", 5)), "mean_r2", "mean_rmse", digits=4)
+
+
 @query("ev2_cross_validate_line", f"""with {HOUSE}, f as (select price, quantity, ntile(5) over (order by sale_id, line, price, quantity, size, retail) - 1 as fold from house),
   fit as (select k as fold, regr_slope(price, quantity) as a, regr_intercept(price, quantity) as b from f, range(5) r(k) where f.fold <> k group by k),
   m as (select fold, avg(price) as m from f group by fold), e as (select fold, price - (a * quantity + b) as e, price - m as d from f join fit using (fold) join m using (fold))

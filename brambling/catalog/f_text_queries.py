@@ -155,23 +155,22 @@ def _(t):
     return search.candidate_search(t.benchmark, QUERIES[4], F.col("text"), ["item_id"])
 
 
-CAND = "with " + CLAUSES + ", q as (select * from (values " + ", ".join(f"({i}, {tokens_sql(q)})" for i, q in enumerate(QUERIES)) + r""") v(criterion, wanted)),
-  cand as (select listing, doc_id * 1000000 + sentence_no * 1000 + clause_no as id, clause, criterion, wanted, list_distinct(regexp_extract_all(lower(clause), '([\p{L}\p{N}_]{2,})', 1)) as terms
-    from clauses, q where len(list_filter(wanted, lambda w: contains(lower(clause), w))) > 0),
-  tf as (select criterion, unnest(terms) as term from cand), tc as (select criterion, term, count(*) as n from tf group by all),
-  kept as (select * from tc qualify row_number() over (partition by criterion order by n desc, term) <= 10000), size as (select criterion, count(*) as v, list(term) as known from kept group by 1),
-  score as (select listing, id, clause, criterion, len(list_filter(wanted, lambda w: list_contains(terms, w) and list_contains(known, w)))::double / v as score from cand join size using (criterion))"""
+CAND = "with " + CLAUSES + r""",
+  stored as materialized (select listing, doc_id, sentence_no, clause_no, clause, lower(clause) as low, list_distinct(regexp_extract_all(lower(clause), '([\p{L}\p{N}_]{2,})', 1)) as terms from clauses),
+  cand as materialized (""" + " union all ".join(f"select listing, doc_id, sentence_no, clause_no, clause, {i} as criterion, {tokens_sql(q)} as wanted, terms from stored where " + " or ".join(f"contains(low, '{w}')" for w in search.query_tokens(q)) for i, q in enumerate(QUERIES)) + """),
+  size as (select criterion, count(distinct term) as v from (select criterion, unnest(terms) as term from cand) group by 1),
+  score as (select listing, doc_id, sentence_no, clause_no, clause, criterion, len(list_intersect(wanted, terms))::double / v as score from cand join size using (criterion))"""
 
 
 def keyed_clauses(t):
     """The stored clause corpus that searches read."""
-    return settle(clauses(t).withColumn("id", F.col("doc_id") * 1000000 + F.col("sentence_no") * 1000 + F.col("clause_no")))
+    return settle(clauses(t).withColumn("id", F.struct("doc_id", "sentence_no", "clause_no")))
 
 
-@query("tx12_hamming_score", f"{CAND} select listing, id, criterion, round(score, 9) as score from score")
+@query("tx12_hamming_score", f"{CAND} select listing, doc_id, sentence_no, clause_no, criterion, round(score, 9) as score from score")
 def _(t):
     hits = search.criteria_candidates(keyed_clauses(t).select("listing", "id", "clause"), QUERIES, F.col("clause"))
-    return search.hamming_score(hits, "clause").select("listing", "id", "criterion", F.round("score", 9).alias("score"))
+    return search.hamming_score(hits, "clause").select("listing", "id.*", "criterion", F.round("score", 9).alias("score"))
 
 
 @query("tx13_multi_criteria_rank", f"""{CAND}, b as (select listing, {', '.join(f'max(score) filter (criterion = {i}) as s{i}' for i in range(5))} from score group by listing)
@@ -182,7 +181,7 @@ def _(t):
     return ranked.withColumns({c: F.round(c, 9) for c in ("score1", "score2", "score3", "score4", "score5", "total")})
 
 
-@query("tx14_best_evidence", f"{CAND} select listing, criterion, arg_max(clause, (score, -id)) as evidence, round(max(score), 9) as score from score group by listing, criterion")
+@query("tx14_best_evidence", f"{CAND} select listing, criterion, arg_min(clause, (-score, doc_id, sentence_no, clause_no)) as evidence, round(max(score), 9) as score from score group by listing, criterion")
 def _(t):
     _, evidence = hotel.rank_listings(keyed_clauses(t), "listing", "id", "clause", QUERIES, WEIGHTS)
     return evidence.withColumn("score", F.round("score", 9))
@@ -202,7 +201,7 @@ def _(t):
     return corpus.word_similarity(word_vectors(t), "the", "and").withColumn("similarity", F.round("similarity", 6))
 
 
-@query("tx17_count_vectorize", f"""with {WORDS}, top as (select word from voc order by n desc, word limit 10000) select distinct doc_id, word from tok join top using (word)""")
+@query("tx17_count_vectorize", f"""with {WORDS} select distinct doc_id, word from tok""")
 def _(t):
     return corpus.count_vectorize(texts(t), "doc_id", "text")[1].select("doc_id", "word")
 

@@ -78,6 +78,19 @@ def _(t):
     return live(t, TREND).select("symbol", "open_time", "position", "strategy")
 
 
+@query("ss7_trigger_log", f"with {BARS} select symbol, open_time, price from bars, range(2) r(n)")
+def _(t):
+    """Polls every second until everything that is there is stored."""
+    log = SB.complete_bars(stream(t)).select("symbol", "open_time", "price")
+    path = new_path(t.spark, "polled")
+    polled = SB.store_available(log, path, new_path(t.spark, "polled-state"), {"processingTime": "1 second"})
+    try:
+        polled.processAllAvailable()
+    finally:
+        polled.stop()
+    return plain_time(t.spark.read.schema(log.schema).parquet(path))
+
+
 @query("ss8_result_log", f"with recursive {SIMPLE} select symbol, open_time, price, position, strategy from perf where strategy is not null")
 def _(t):
     return live(t, LIMITED).filter("strategy is not null").select("symbol", "open_time", "price", "position", "strategy")

@@ -99,7 +99,7 @@ def mode_per_class(df: DataFrame, label: str, cluster: str) -> DataFrame:
     return modes.join(owner, cluster).select(label, cluster, "mapped_label")
 
 
-def term_frequency(df: DataFrame, cluster: str, terms: str, n: int = 500) -> DataFrame:
+def term_frequency(df: DataFrame, cluster: str, terms: str, n: int) -> DataFrame:
     """Top terms per cluster from an array column of terms."""
     counts = group_count(df.select(cluster, F.explode(terms).alias("term")).filter(F.col("term") != ""), [cluster, "term"])
     return top_k_per_group(counts, [cluster], [F.desc("n"), F.col("term")], n)

@@ -141,7 +141,10 @@ def word_similarity(vectors: DataFrame, a: str, b: str) -> DataFrame:
     return both.select(F.lit(a).alias("a"), F.lit(b).alias("b"), T.cosine(F.col("va"), F.col("vb")).alias("similarity"))
 
 
-def count_vectorize(df: DataFrame, key: str, text: str, size: int = 10_000) -> tuple[DataFrame, DataFrame]:
-    """Vocabulary by total frequency and the binary bag of words in long form."""
-    vocab = top_k(vocabulary(df, text), [F.desc("n"), "word"], size)
+def count_vectorize(df: DataFrame, key: str, text: str, size: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Vocabulary by total frequency and the binary bag of words in long form; ``size`` keeps the most frequent words only."""
+    words = vocabulary(df, text)
+    if size is None:
+        return words, word_counts(df, key, text).select(key, "word")
+    vocab = top_k(words, [F.desc("n"), "word"], size)
     return vocab, word_counts(df, key, text).select(key, "word").join(sized(vocab.select("word")), "word", "left_semi")

@@ -179,6 +179,11 @@ def cross_validate(df: DataFrame, y: str, features: list[str], fold: str, k: int
     return _table(df, rows, "fold int, r2 double, rmse double")
 
 
+def fold_means(scores: DataFrame) -> DataFrame:
+    """Mean R2 and mean root mean squared error over the folds."""
+    return scores.agg(F.avg("r2").alias("mean_r2"), F.avg("rmse").alias("mean_rmse"))
+
+
 def iterative_impute(df: DataFrame, columns: list[str], rounds: int = 3) -> DataFrame:
     """Fill each column from a regression on the others, least missing first, for a few rounds."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first().asDict()

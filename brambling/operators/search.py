@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F
 
 from brambling.functions import text as T
-from brambling.operators.ordering import top_k_per_group
+from brambling.operators.ordering import top_k, top_k_per_group
 
 
 def query_tokens(query: str) -> list[str]:
@@ -22,7 +22,7 @@ def token_matches(text: Column, tokens: list[str]) -> Column:
 def candidate_search(rows: DataFrame, query: str, text: str, key: list[str], cap: int | None = None) -> DataFrame:
     """Rows that contain any token, by tokens matched; ``cap`` keeps the best rows only."""
     hits = rows.withColumn("matched", token_matches(F.lower(text), query_tokens(query))).filter(F.col("matched") > 0)
-    return hits if cap is None else hits.orderBy(F.desc("matched"), *key).limit(cap)
+    return hits if cap is None else top_k(hits, [F.desc("matched"), *key], cap)
 
 
 def criteria_candidates(rows: DataFrame, queries: list[str], text: str) -> DataFrame:
@@ -35,17 +35,17 @@ def criteria_candidates(rows: DataFrame, queries: list[str], text: str) -> DataF
         *rows.columns, F.col("_hit.criterion").alias("criterion"), F.col("_hit.wanted").alias("wanted"))
 
 
-def hamming_score(candidates: DataFrame, text: str, max_terms: int = 10_000) -> DataFrame:
+def hamming_score(candidates: DataFrame, text: str, max_terms: int | None = None) -> DataFrame:
     """Share of the criterion's vocabulary that is wanted and present in the row.
 
-    The vocabulary of a criterion is the terms of its candidates, most frequent first up to
-    ``max_terms``.  It is needed only as its size and as the wanted terms it holds: one row per
+    The vocabulary of a criterion is the terms of its candidates, all of them unless ``max_terms`` asks
+    for the most frequent only.  It is needed only as its size and as the wanted terms it holds: one row per
     criterion, so the rows themselves are never exploded twice or joined by term.
     """
     tokens = candidates.withColumn("_terms", T.terms(F.col(text)))
     counts = (tokens.select("criterion", F.explode("_terms").alias("term")).groupBy("criterion", "term")
               .agg(F.count(F.lit(1)).alias("n")))
-    kept = top_k_per_group(counts, ["criterion"], [F.desc("n"), F.col("term")], max_terms, "_r")
+    kept = counts if max_terms is None else top_k_per_group(counts, ["criterion"], [F.desc("n"), F.col("term")], max_terms, "_r")
     wanted = candidates.groupBy("criterion").agg(F.first("wanted").alias("_w"))
     size = (kept.join(F.broadcast(wanted), "criterion").groupBy("criterion")
             .agg(F.count(F.lit(1)).alias("_size"), F.collect_list(F.when(F.array_contains("_w", F.col("term")), F.col("term"))).alias("_in")))
@@ -63,9 +63,9 @@ def multi_criteria_rank(rows: DataFrame, listing: str, scores: DataFrame, weight
 
 
 def best_evidence(scores: DataFrame, listing: str, key: str, text: str) -> DataFrame:
-    """Top clause of every listing and criterion."""
+    """Top clause of every listing and criterion; the first in order of ``key`` (any sortable column) among equals."""
     return scores.groupBy(listing, "criterion").agg(
-        F.max_by(text, F.struct("score", -F.col(key))).alias("evidence"), F.max("score").alias("score"))
+        F.min_by(text, F.struct(-F.col("score"), F.col(key))).alias("evidence"), F.max("score").alias("score"))
 
 
 def cosine_search(rows: DataFrame, vector: str, wanted: list[float]) -> DataFrame:

@@ -56,13 +56,11 @@ def positioned(df: DataFrame, b: Blocks) -> DataFrame:
 def rolling(df: DataFrame, b: Blocks, lookback: int, *steps: Callable[[WindowSpec], dict[str, Column]]) -> DataFrame:
     """Add window columns that look at most ``lookback`` rows back, in one shuffle.
 
-    Each step maps the window to new columns and may use columns of the steps before it.
+    Each step maps the window to new columns and may use columns of the steps before it.  A row goes to its own
+    block and to those after it that hold a row it is at most ``lookback`` rows before.
     """
-    if lookback > b.rows:
-        raise ValueError("the lookback is longer than a block")
-    borrowed = (F.col("pos") - 1) % b.rows >= b.rows - lookback
-    spread = df.withColumn("_own", F.col("blk")).withColumn(
-        "blk", F.explode(F.when(borrowed, F.array(F.col("blk"), F.col("blk") + 1)).otherwise(F.array("blk"))))
+    furthest = F.floor((F.col("pos") - 1 + lookback) / b.rows)
+    spread = df.withColumn("_own", F.col("blk")).withColumn("blk", F.explode(F.sequence(F.col("blk"), furthest)))
     for step in steps:
         spread = spread.withColumns(step(b.order))
     return spread.filter(F.col("blk") == F.col("_own")).drop("_own")
@@ -143,22 +141,31 @@ def relative_strength(df: DataFrame, b: Blocks, change: Column, period: Column,
     power = F.pow(decay, F.greatest(F.lit(0), F.col("_end") - F.greatest("pos", "_seed")).cast("double")) / F.col("_n")
     sums = weighed.groupBy(*b.by, "_n", "_seed", "_end").agg(
         F.sum(F.col("_gain") * power).alias("_g"), F.sum(F.col("_loss") * power).alias("_l"))
-    # beyond this many blocks the decay is below the smallest double for any period up to 1000
-    reach = max(2, -(-700_000 // b.rows))
-    held = F.collect_list(F.struct("_end", "_g", "_l")).over(
-        Window.partitionBy(*b.keys).orderBy("blk").rowsBetween(-reach, -1))
-    start = F.col("_end") - b.rows
-
-    def arriving(field: str) -> Column:
-        return F.aggregate("_held", F.lit(0.0), lambda acc, x: acc + x[field] * F.pow(
-            decay, F.greatest(F.lit(0), start - F.greatest(x["_end"], F.col("_seed"))).cast("double")))
-
-    starts = sums.withColumn("_held", held).select(*b.by, arriving("_g").alias("_g0"), arriving("_l").alias("_l0"))
+    carried = T.StructType([*[f for f in sums.schema.fields if f.name in b.by], T.StructField("_g0", T.DoubleType()), T.StructField("_l0", T.DoubleType())])
+    starts = sums.groupBy(*b.keys).applyInPandas(_carry_averages(b), carried)
     fields = [f for f in df.schema.fields if f.name not in ("rsi", "rsi_prev")]
     schema = T.StructType([*fields, T.StructField("rsi", T.DoubleType()), T.StructField("rsi_prev", T.DoubleType())])
     return rows.join(starts, b.by).groupBy(*b.by).applyInPandas(_rsi_block, schema)
 
 
+def _carry_averages(b: Blocks) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Start values of a series' blocks from their summaries, one row per block: each block decays what came
+    before it by its own number of updates and adds its own part, however long the period is."""
+    rows, columns = b.rows, [*b.by, "_g0", "_l0"]
+
+    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("blk", ignore_index=True)
+        gain, loss, out = 0.0, 0.0, []
+        for n, seed, end, g, l in pdf[["_n", "_seed", "_end", "_g", "_l"]].itertuples(index=False):
+            out.append((gain, loss))
+            kept = ((n - 1) / n) ** max(0, end - max(end - rows, seed))
+            gain, loss = gain * kept + g, loss * kept + l
+        pdf[["_g0", "_l0"]] = out
+        return pdf[columns]
+
+    return walk
+
+
 def _average(values: pd.Series, pos: pd.Series, start: float, n: float, seed: int) -> pd.Series:
     """Averages at the block's rows, with the value before the first row in front."""
     warm = int((pos <= seed).sum())

@@ -58,6 +58,35 @@ def test_strength_is_the_recursion(walk, blocks):
         assert np.allclose(g.rsi_prev.astype(float), np.append(np.nan, want[:-1]), equal_nan=True)
 
 
+def test_periods_and_lookbacks_longer_than_many_blocks(walk):
+    pdf, df = walk
+    df, few = df.filter("symbol <> 'c'"), Blocks(rows=7)
+    out = S.smoothed_rsi(df, few, 30, 25).toPandas()
+    for k, g in by_series(out).items():
+        want = wilder(by_series(pdf)[k].price.to_numpy(), 30, 25)
+        assert np.allclose(g.rsi.astype(float), want, equal_nan=True) and np.isfinite(want).any()
+
+
+def test_carried_averages_have_no_reach():
+    """Two thousand blocks, a period far above their sum: the plain recursion is the measure."""
+    rng = np.random.default_rng(0)
+    rows, n, seed, blocks = 4, 5_000, 5, 2_000
+    gain, loss = rng.random((2, blocks * rows))
+    total, marks = np.zeros(2), []
+    for i in range(blocks * rows):
+        if i % rows == 0:
+            marks.append(tuple(total))
+        total = total * ((n - 1) / n if i + 1 > seed else 1.0) + np.array([gain[i], loss[i]]) / n
+    power = lambda pos, end: ((n - 1) / n) ** np.maximum(0, end - np.maximum(pos, seed)) / n
+    frame = []
+    for k in range(blocks):
+        pos, end = np.arange(k * rows, (k + 1) * rows) + 1, (k + 1) * rows
+        frame.append(("s", k, float(n), seed, end, (gain[pos - 1] * power(pos, end)).sum(), (loss[pos - 1] * power(pos, end)).sum()))
+    pdf = pd.DataFrame(frame, columns=["symbol", "blk", "_n", "_seed", "_end", "_g", "_l"]).sample(frac=1, random_state=1)
+    got = S._carry_averages(Blocks(rows=rows))(pdf)
+    assert np.allclose(got.sort_values("blk")[["_g0", "_l0"]].to_numpy(), np.array(marks))
+
+
 def loop(g, r):
     """All bars of one series, one after the other."""
     state, rows = (r.start, 0, r.start_price), []
