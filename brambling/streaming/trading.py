@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from brambling.operators.strategy import Rules, step
 
 OUTPUT = ("symbol string, open_time timestamp, price double, sma double, rsi double, rsi_ratio double, signal string, "
-          "position int, strategy string")
+          "position int, strategy string, late boolean")
 STATE = ("prices array<double>, sma double, changes bigint, gain double, loss double, rsi double, position int, waiting int, "
          "paid double, last_time timestamp")
 
@@ -63,35 +63,69 @@ class Bar:
 
 
 class TradingProcessor(StatefulProcessor):
-    """Advances each series bar by bar; a bar not later than the last one is ignored."""
+    """Holds the bars of each series until the watermark has passed them, then advances bar by bar in time order.
+
+    Files and rows may come in any order within the watermark's delay.  Of several messages for a bar that is still
+    held the newest counts; a message for a bar that is already behind the series' last one changes nothing and is
+    given out as a row with ``late`` set, so that it can be counted.
+    """
 
     def __init__(self, rules: Rules):
         self.rules = rules
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.state = handle.getValueState("bar", STATE)
+        self.held = handle.getMapState("held", "at bigint", "price double, seen bigint")
+
+    def _bar(self) -> Bar:
+        return Bar(self.rules, tuple(self.state.get()) if self.state.exists() else None)
 
     def handleInputRows(self, key, rows, timerValues):
-        bar = Bar(self.rules, tuple(self.state.get()) if self.state.exists() else None)
-        # one micro-batch of one series; rows inside it come in any order
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("open_time")
+        last = self._bar().last_time
+        done = None if last is None else pd.Timestamp(last).tz_localize(None).value // 1000
+        for batch in rows:
+            late = []
+            for at, price, seen in zip(batch["at"].tolist(), batch["price"].tolist(), batch["seen"].tolist()):
+                if done is not None and at <= done:
+                    late.append((key[0], pd.Timestamp(at, unit="us"), price, None, None, None, None, None, None, True))
+                elif not self.held.containsKey((at,)):
+                    self.held.updateValue((at,), (price, seen))
+                    self.handle.registerTimer(at // 1000)
+                elif self.held.getValue((at,))[1] <= seen:
+                    self.held.updateValue((at,), (price, seen))
+            yield _frame(late)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        reached = timerValues.getCurrentWatermarkInMs() * 1000
+        ready = sorted((at, value[0]) for (at,), value in self.held.iterator() if at <= reached)
         out = []
-        for at, price in zip(batch["open_time"], batch["price"].tolist()):
-            if bar.last_time is not None and pd.Timestamp(at) <= pd.Timestamp(bar.last_time):
-                continue
-            out.append((key[0], at, price, *bar.advance(at, price)))
-        self.state.update(bar.as_state())
-        frame = pd.DataFrame(out, columns=["symbol", "open_time", "price", "sma", "rsi", "rsi_ratio", "signal", "position", "strategy"])
-        yield frame.astype({"sma": "float64", "rsi": "float64", "rsi_ratio": "float64", "position": "int32"})
+        if ready:
+            bar = self._bar()
+            for at, price in ready:
+                time = pd.Timestamp(at, unit="us")
+                out.append((key[0], time, price, *bar.advance(time.to_pydatetime(), price), False))
+                self.held.removeKey((at,))
+            self.state.update(bar.as_state())
+        yield _frame(out)
 
     def close(self) -> None:
         pass
 
 
-def live_positions(bars: DataFrame, rules: Rules) -> DataFrame:
-    """Indicators, signal and carried position per complete bar.
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    frame = pd.DataFrame(rows, columns=["symbol", "open_time", "price", "sma", "rsi", "rsi_ratio", "signal", "position", "strategy", "late"])
+    return frame.astype({"open_time": "datetime64[us]", "price": "float64", "sma": "float64", "rsi": "float64", "rsi_ratio": "float64",
+                         "position": "Int32", "late": "bool"})
+
+
+def live_positions(bars: DataFrame, rules: Rules, delay: str = "2 hours") -> DataFrame:
+    """Indicators, signal and carried position per complete bar, once the watermark (newest event time less ``delay``) has passed it.
 
-    Set the RocksDB state store (``ROCKSDB``) on the session first.
+    The time of the watermark itself does not go on, so that late messages reach the processor instead of being
+    dropped.  Needs the RocksDB state store (``ROCKSDB``) on the session.
     """
-    return (bars.select("symbol", "open_time", "price").groupBy("symbol")
-            .transformWithStateInPandas(TradingProcessor(rules), outputStructType=OUTPUT, outputMode="Append", timeMode="None"))
+    held = bars.filter(F.col("price").isNotNull()).withWatermark("event_time", delay).select(
+        "symbol", F.unix_micros("open_time").alias("at"), "price", F.unix_micros("event_time").alias("seen"))
+    return (held.groupBy("symbol")
+            .transformWithStateInPandas(TradingProcessor(rules), outputStructType=OUTPUT, outputMode="Append", timeMode="EventTime"))

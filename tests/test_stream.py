@@ -1,4 +1,5 @@
 import json
+import time
 
 import pandas as pd
 import pytest
@@ -44,10 +45,13 @@ def test_carried_state_over_restarts_equals_the_batch(spark, walk, tmp_path):
         lines += [message(r.symbol, r.open_time, r.price + 1, complete=False) for r in part.head(5).itertuples()]
         put(source, f"{i}", lines)
         bars = SB.complete_bars(SB.parse_messages(SB.read_messages(spark, str(source), 1)))
-        run(trading.live_positions(bars, RULES), out, state)                  # a new query each time: state is restored
+        run(trading.live_positions(bars, RULES, "0 seconds"), out, state)                  # a new query each time: state is restored
     put(source, "late", [message("hot", times[3], 1.0)])
-    run(trading.live_positions(SB.complete_bars(SB.parse_messages(SB.read_messages(spark, str(source), 1))), RULES), out, state)
+    run(trading.live_positions(SB.complete_bars(SB.parse_messages(SB.read_messages(spark, str(source), 1))), RULES, "0 seconds"), out, state)
     got = spark.read.parquet(str(out)).toPandas().sort_values(["symbol", "open_time"], ignore_index=True)
+    late = got[got.late]
+    assert len(late) == 1 and late.price.tolist() == [1.0]      # counted, and without effect
+    got = got[~got.late].reset_index(drop=True)
     want = ST.back_test(df, RULES, Blocks(rows=64)).toPandas().sort_values(["symbol", "open_time"], ignore_index=True)
     assert len(got) == len(want) == len(pdf)
     assert got.position.tolist() == want.position.tolist()
@@ -56,6 +60,28 @@ def test_carried_state_over_restarts_equals_the_batch(spark, walk, tmp_path):
         assert got[c].fillna(-1).tolist() == pytest.approx(want[c].fillna(-1).tolist())
 
 
+def test_files_in_any_order_give_the_batch_result(spark, walk, tmp_path):
+    """One file a micro-batch, files far out of order within the delay, and an older message for a bar still held."""
+    pdf, df = walk
+    source = tmp_path / "in"
+    source.mkdir()
+    times = sorted(pdf.open_time.unique())
+    parts = [times[i:i + 40] for i in range(0, len(times), 40)]
+    for i, k in enumerate([2, 0, 1, 5, 3, 4, *range(6, len(parts))]):
+        rows = pdf[pdf.open_time.isin(parts[k])].sample(frac=1, random_state=i)
+        lines = [message(r.symbol, r.open_time, r.price) for r in rows.itertuples()]
+        lines += [message(r.symbol, r.open_time, r.price + 7, late=-5000) for r in rows.head(6).itertuples()]
+        put(source, f"{i:02}", lines)
+        time.sleep(0.02)
+    bars = SB.complete_bars(SB.parse_messages(SB.read_messages(spark, str(source), 1)))
+    run(trading.live_positions(bars, RULES, "200 hours"), tmp_path / "out", tmp_path / "state")
+    got = spark.read.parquet(str(tmp_path / "out")).toPandas().sort_values(["symbol", "open_time"], ignore_index=True)
+    closed = pd.Timestamp(times[-1]) + pd.Timedelta(hours=1) - pd.Timedelta(hours=200)
+    want = ST.back_test(df, RULES, Blocks(rows=64)).filter(F.col("open_time") <= F.lit(closed)).toPandas().sort_values(["symbol", "open_time"], ignore_index=True)
+    assert not got.late.any() and got.price.tolist() == want.price.tolist() and got.position.tolist() == want.position.tolist()
+    assert got.rsi.fillna(-1).tolist() == pytest.approx(want.rsi.fillna(-1).tolist())
+
+
 def test_repeats_are_dropped_within_the_watermark(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
