@@ -25,6 +25,15 @@ def settle(df: DataFrame) -> DataFrame:
         spark.conf.set(key, before)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the files of a settled table that nothing reads any more."""
+    jvm = df.sparkSession.sparkContext._jvm
+    for file in df.inputFiles()[:1]:
+        folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
+        if folder.getName().startswith("settled-"):
+            folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def col(name: str) -> Column:
     """A top-level column by its exact name, also when the name holds a dot."""
     return F.col(f"`{name}`")

@@ -10,8 +10,9 @@ classes link when 100 * intersection >= threshold * union.
 2. *Global order and fragments.*  The rest is ordered by the number of classes that hold an n-gram, rare
    first, and the order is cut into fragments of equal load: each set becomes one segment per fragment.
 3. *Candidates.*  Two linked sets share one of their first |x| - ceil(t|x|) + 1 n-grams in that order.
-   Members of such a bucket are compared with one hub of the bucket at a time; what links is contracted to
-   components, and buckets whose members are in one component are done.  After the hub rounds, all members
+   Every bucket of such an n-gram has a hub, another in each round, and every set is compared with one hub of
+   its buckets a round; what links is contracted to components, and buckets whose members are in one component
+   are done.  After the hub rounds, all members
    outside the largest component of a bucket are compared with the members of other components in it, so
    every link between different components is found while copies of one text never form all pairs.
 4. *Partial overlaps.*  Each fragment counts the overlap of its segments of a pair; the sum over fragments
@@ -29,14 +30,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from brambling.llm.common import col, settle
+from brambling.llm.common import col, discard, settle
 from brambling.llm.components import components
 from brambling.llm.shingles import shingles
 
 THRESHOLD = 75      # percent
 SLICE = 0.35        # share of the hash range in which lonely n-grams are counted
 FRAGMENTS = 4
-HUB_ROUNDS = 3
+HUB_ROUNDS = 4
 _DF_CAP, _FP_BITS = (1 << 20) - 1, 43
 
 
@@ -104,11 +105,11 @@ def _survivors(docs: DataFrame, classes: DataFrame, n: int, text: str, threshold
 
 def _ordered(sets: DataFrame, threshold: int) -> DataFrame:
     """(cls, n, toks): the n-grams of each set that another set holds too, in global order, rare first."""
-    posts = sets.select("cls", "n", F.explode("grams").alias("gram"))
+    posts = sets.select("cls", F.explode("grams").alias("gram"))
     df = posts.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") > 1)
     place = F.shiftleft(F.least(F.col("df"), F.lit(_DF_CAP)), _FP_BITS) + F.shiftrightunsigned("gram", 64 - _FP_BITS)
-    met = posts.join(df, "gram").select("cls", "n", F.struct(place.alias("place"), "gram").alias("tok"))
-    return (met.groupBy("cls", "n").agg(F.sort_array(F.collect_list("tok")).alias("toks"))
+    met = posts.join(df, "gram").select("cls", F.struct(place.alias("place"), "gram").alias("tok"))
+    return (met.groupBy("cls").agg(F.sort_array(F.collect_list("tok")).alias("toks")).join(sets.select("cls", "n"), "cls")
             .filter(F.size("toks") >= _least_shared(F.col("n"), threshold)))
 
 
@@ -122,12 +123,13 @@ def _fragments(ordered: DataFrame, fragments: int) -> DataFrame:
     return (ordered.select("cls", F.posexplode(segments).alias("frag", "grams")).filter(F.size("grams") > 0))
 
 
-def verify(pairs: DataFrame, segments: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def verify(pairs: DataFrame, segments: DataFrame, threshold: int = THRESHOLD, fragments: int = FRAGMENTS) -> DataFrame:
     """Pairs (a, b) that link: partial overlaps are counted fragment by fragment and summed per pair."""
+    pairs = pairs.withColumn("frag", F.explode(F.array(*[F.lit(k) for k in range(fragments)])))
     left = segments.select(F.col("cls").alias("a"), "frag", F.col("grams").alias("left"))
     right = segments.select(F.col("cls").alias("b"), "frag", F.col("grams").alias("right"))
     part = F.size(F.array_intersect("left", "right"))
-    shared = (pairs.join(left, "a").join(right, ["b", "frag"]).select("a", "b", "na", "nb", part.cast("long").alias("part"))
+    shared = (pairs.join(left, ["a", "frag"]).join(right, ["b", "frag"]).select("a", "b", "na", "nb", part.cast("long").alias("part"))
               .groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("shared")))
     union = F.col("na") + F.col("nb") - F.col("shared")
     return shared.filter(100 * F.col("shared") >= threshold * union).select("a", "b")
@@ -142,12 +144,13 @@ def _as_pair(threshold: int) -> tuple[Column, list[Column]]:
 
 
 def _hub_pairs(members: DataFrame, turn: int, threshold: int) -> DataFrame:
-    """Each bucket's members against its hub of this turn, where their components differ."""
-    hub = F.min(F.struct(F.xxhash64("cls", F.lit(turn)), F.col("cls").alias("hcls"), F.col("n").alias("hn"), F.col("comp").alias("hcomp")))
+    """Each set against one hub: the first, in this turn's order, of its buckets' hubs in another component."""
+    hub = F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("h"), F.col("cls").alias("hcls"), F.col("n").alias("hn"), F.col("comp").alias("hcomp")))
     hubs = (members.groupBy("gram").agg(hub.alias("hub"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-            .filter(F.col("lo") != F.col("hi")).select("gram", "hub.hcls", "hub.hn", "hub.hcomp"))
+            .filter(F.col("lo") != F.col("hi")).select("gram", "hub"))
     fits, pair = _as_pair(threshold)
-    return members.join(hubs, "gram").filter((F.col("comp") != F.col("hcomp")) & fits).select(*pair).distinct()
+    met = members.join(hubs, "gram").select("cls", "n", "comp", "hub", "hub.*").filter((F.col("comp") != F.col("hcomp")) & fits)
+    return met.groupBy("cls", "n").agg(F.min("hub").alias("hub")).select("cls", "n", "hub.*").select(*pair).distinct()
 
 
 def _rest_pairs(members: DataFrame, threshold: int) -> DataFrame:
@@ -162,9 +165,11 @@ def _rest_pairs(members: DataFrame, threshold: int) -> DataFrame:
 
 
 def link_classes(sets: DataFrame, threshold: int = THRESHOLD, fragments: int = FRAGMENTS) -> DataFrame:
-    """(node, component) of the classes that link to another; ``sets`` are (cls, n, grams), each class once."""
+    """(node, component) of the classes that link to another; ``sets`` are (cls, n, grams), each class once,
+    in a settled table that is removed when the ordered sets are written."""
     ordered = settle(_ordered(sets, threshold))
-    segments = settle(_fragments(ordered, fragments))
+    discard(sets)
+    segments = _fragments(ordered, fragments)
     first = F.col("n") - _least_shared(F.col("n"), threshold) + 1 - (F.col("n") - F.size("toks"))
     prefix = (ordered.withColumn("first", first.cast("int")).filter(F.col("first") > 0)
               .select("cls", "n", F.explode(F.slice("toks", F.lit(1), F.col("first"))["gram"]).alias("gram")))
@@ -179,7 +184,8 @@ def link_classes(sets: DataFrame, threshold: int = THRESHOLD, fragments: int = F
             if turn < HUB_ROUNDS:
                 continue
             break
-        linked = settle(verify(pairs, segments, threshold))
+        ends = settle(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct())
+        linked = settle(verify(pairs, segments if turn == 0 else segments.join(ends, "cls", "left_semi"), threshold, fragments))
         edges = linked if edges is None else edges.union(linked)
         if not linked.isEmpty():
             found = settle(components(edges if found is None else linked.union(found.select(F.col("node").alias("a"), F.col("component").alias("b")))))
