@@ -272,10 +272,14 @@ PAIRS = f"""{TAGGED}, nb as (select *, last_value(case when tag = 'connector' th
 KEYS = ["listing", "doc_id", "sentence_no", "clause_no"]
 
 
-def tagged(t, words):
+def lexicon(words):
     digest = F.conv(F.substring(F.md5(F.concat("word", F.lit("|42"))), 1, 8), 16, 10).cast("bigint") % 10
     tag = F.when(digest < 3, "noun").when(digest == 3, "connector").when(digest == 4, "compound").when(digest < 7, "adjective")
-    return graph.tag_tokens(clauses(t).withColumn("tokens", T.words(F.col("clause"))), KEYS, "tokens", words.select("word", tag.alias("tag")))
+    return words.select("word", tag.alias("tag"))
+
+
+def tagged(t, words):
+    return graph.tag_tokens(clauses(t).withColumn("tokens", T.words(F.col("clause"))), KEYS, "tokens", lexicon(words))
 
 
 def pairs(t, words):
@@ -287,6 +291,11 @@ def edges(t, words=None):
     return graph.edge_table(pairs(t, words), lemmas(words))
 
 
+def weights(t, words=None):
+    words = vocabulary(t) if words is None else words
+    return graph.weighted_edges(pairs(t, words), lemmas(words))
+
+
 @query("gr1_adjacent_pairs", f"with {PAIRS} select listing, doc_id, obj1, obj2, count(*) as n from pairs group by all")
 def _(t):
     return pairs(t, vocabulary(t)).groupBy("listing", "doc_id", "obj1", "obj2").agg(F.count(F.lit(1)).alias("n"))
@@ -299,20 +308,19 @@ def _(t):
 
 @query("gr3_edge_weight", f"with {PAIRS} select obj1, obj2, weight from weights")
 def _(t):
-    return graph.edge_weight(edges(t))
+    return weights(t)
 
 
 @query("gr4_degree_filter", f"""with {PAIRS}, ends as (select obj1 as node, obj2 as other from weights union select obj2, obj1 from weights), deg as (select node, count(*) + count(*) filter (node = other) as d from ends group by 1)
   select obj1, obj2, weight from weights where obj1 in (select node from deg where d > 40) or obj2 in (select node from deg where d > 40)""")
 def _(t):
-    return graph.degree_filter(settle(graph.edge_weight(edges(t))), 40)
+    return graph.degree_filter(settle(weights(t)), 40)
 
 
 @query("gr5_entity_counts", f"""with {PAIRS}, e as (select obj1 as word from edges union all select obj2 from edges) select word, count(*) as n from e where word in (select word from lexi where tag in ('noun', 'connector')) group by 1""")
 def _(t):
     words = vocabulary(t)
-    nouns = tagged(t, words).filter(F.col("tag").isin(*graph.NOUNS)).select("word").distinct()
-    return graph.entity_counts(edges(t, words), nouns)
+    return graph.entity_counts(weights(t, words), lexicon(words).filter(F.col("tag").isin(*graph.NOUNS)).select("word"))
 
 
 @query("gr6_nearest_subject", f"""with {TAGGED}, s as (select *, last_value(case when tag = 'connector' then word end ignore nulls) over (partition by doc_id, sentence_no, clause_no order by i rows between unbounded preceding and 1 preceding) as subject from tk)
@@ -323,4 +331,4 @@ def _(t):
 
 @query("gr7_entity_filter", f"with {PAIRS} select obj1, obj2, weight from weights where obj1 in ('the', 'and', 'of') or obj2 in ('the', 'and', 'of')")
 def _(t):
-    return graph.entity_filter(graph.edge_weight(edges(t)), ["the", "and", "of"])
+    return graph.entity_filter(weights(t), ["the", "and", "of"])

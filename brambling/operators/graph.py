@@ -54,6 +54,13 @@ def edge_weight(edges: DataFrame) -> DataFrame:
     return group_count(edges, ["obj1", "obj2"], "weight")
 
 
+def weighted_edges(pairs: DataFrame, lemmas: DataFrame, missing: str = "na") -> DataFrame:
+    """Edges with their weight straight from word pairs: pairs are counted before they are named, so the lookups see
+    each distinct pair once and no frequent word's rows meet in one task."""
+    counted = group_count(pairs.select(F.lower("obj1").alias("obj1"), F.lower("obj2").alias("obj2")), ["obj1", "obj2"], "weight")
+    return edge_table(counted, lemmas, missing).groupBy("obj1", "obj2").agg(F.sum("weight").alias("weight"))
+
+
 def degree_filter(edges: DataFrame, degree: int) -> DataFrame:
     """Edges with either end of more than ``degree`` distinct neighbours (undirected; a self loop counts twice)."""
     pair = edges.select("obj1", "obj2").distinct()
@@ -66,9 +73,9 @@ def degree_filter(edges: DataFrame, degree: int) -> DataFrame:
 
 
 def entity_counts(edges: DataFrame, nouns: DataFrame) -> DataFrame:
-    """Nouns among both ends by frequency."""
-    ends = edges.select(F.col("obj1").alias("word")).union(edges.select("obj2"))
-    counts = group_count(ends, ["word"])
+    """Nouns among both ends of weighted edges by frequency."""
+    ends = edges.select(F.col("obj1").alias("word"), "weight").union(edges.select("obj2", "weight"))
+    counts = ends.groupBy("word").agg(F.sum("weight").alias("n"))
     return counts.join(nouns, "word", "left_semi").orderBy(F.desc("n"), "word")
 
 

@@ -126,6 +126,13 @@ def test_pairs_of_a_clause(spark):
     assert near == {("staff", "small"), ("staff", "room")}
 
 
+def test_weights_count_before_naming(spark):
+    pairs = spark.createDataFrame([("rooms", "Big"), ("room", "big"), ("rooms", "na"), ("bath", "rooms")], "obj1 string, obj2 string")
+    lemmas = spark.createDataFrame([("rooms", "room")], "word string, lemma string")
+    got = {(r.obj1, r.obj2): r.weight for r in graph.weighted_edges(pairs, lemmas).collect()}
+    assert got == {("room", "big"): 2, ("bath", "room"): 1}
+
+
 def test_degree_counts_neighbours_once_and_loops_twice(spark):
     edges = spark.createDataFrame([("a", "b", 1), ("b", "a", 1), ("a", "c", 1), ("d", "d", 1), ("e", "f", 1)], "obj1 string, obj2 string, weight int")
     kept = {(r.obj1, r.obj2) for r in graph.degree_filter(edges, 1).collect()}
