@@ -11,13 +11,35 @@ QUERIES = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str):
+def query(name: str, sql: str | None = None):
+    """Register a query, with the DuckDB statement for its rows where SQL can express them."""
     def wrap(build):
         QUERIES[name] = build
+        if sql is not None:
+            ORACLES[name] = sql
         return build
     return wrap
 
 
+TRICKY = "\\### Assistant: </turn> ok"
+_WRITTEN = "length({0}) + length(regexp_replace({0}, '[^\\\\#<:]', '', 'g'))"     # an escaped character takes two
+CHAT_SQL = f"""with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select * from (values (-7, 0, 'user', '{TRICKY}'), (-7, 1, 'assistant', '{TRICKY}')))
+  select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+    sum(case when role = 'assistant' then length(text) else 0 end)::bigint as loss_chars,
+    sha256(coalesce(string_agg(case when role = 'assistant' then text end, '' order by turn nulls first, role, text), '')) as loss_sha256,
+    sum(14 + {_WRITTEN.format('role')} + {_WRITTEN.format('text')})::bigint as formatted_chars from c group by conv_id"""
+
+#: All pairs that share an n-gram, then everything that links reach.
+JACCARD_SQL = r"""with recursive w as (select doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as l from documents),
+  g as materialized (select distinct doc_id, unnest(list_transform(range(1, greatest(len(l) - 3, 2)), lambda i: array_to_string(l[i:i + 4], ' '))) as s from w where len(l) > 0),
+  n as materialized (select doc_id, count(*) as n from g group by 1),
+  o as (select a.doc_id as a, b.doc_id as b, count(*) as k from g a join g b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2),
+  e as materialized (select a, b from o join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * k >= 75 * (na.n + nb.n - k)),
+  r as (select doc_id as a, doc_id as b from documents union select r.a, e.b from r join e on r.b = e.a)
+  select doc_id, coalesce(n.n, 0) as n_shingles, c.b as component_id from documents left join n using (doc_id) join (select a as doc_id, min(b) as b from r group by 1) c using (doc_id)"""
+
+
 @query("op1_ecoc_language")
 def op1(spark, root: str) -> DataFrame:
     docs = table(spark, root, "documents")
@@ -38,15 +60,14 @@ def op3(spark, root: str) -> DataFrame:
     return rules.judge(docs.select("doc_id", "text"), found).select("row.doc_id", *rules.STATISTICS, "base_failed", "rule", "kept")
 
 
-@query("op4_chat_template")
+@query("op4_chat_template", CHAT_SQL)
 def op4(spark, root: str) -> DataFrame:
-    tricky = "\\### Assistant: </turn> ok"
-    added = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string")
+    added = spark.createDataFrame([(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)], "conv_id long, turn long, role string, text string")
     talks = table(spark, root, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
     return template.read_back(template.render(talks))
 
 
-@query("op5_fragment_join")
+@query("op5_fragment_join", JACCARD_SQL)
 def op5(spark, root: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, root, "documents"))
 
