@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from brambling.operators import evaluate
 from brambling.operators.encode import fit_medians, impute
 from brambling.operators.explore import explained_variance
+from brambling.session import settle
 
 
 def assemble(df: DataFrame, features: list[str], keep: list[str] | None = None) -> DataFrame:
@@ -196,6 +197,7 @@ def iterative_impute(df: DataFrame, columns: list[str], rounds: int = 3) -> Data
                 assemble(filled.filter(~F.col(f"_gap_{c}")), others, [c]))
             guess = sum((F.col(o) * float(w) for o, w in zip(others, model.coefficients)), F.lit(float(model.intercept)))
             filled = filled.withColumn(c, F.when(F.col(f"_gap_{c}"), guess).otherwise(F.col(c)))
+        filled = settle(filled)     # a round's fits read the rows of the round before, not its whole plan
     return filled.drop(*[f"_gap_{c}" for c in order])
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from brambling.operators.aggregate import pivot_mean
+from brambling.session import settle
 
 
 def item_user(transactions: DataFrame) -> DataFrame:
@@ -31,7 +32,7 @@ def similar_to(transactions: DataFrame, seeds: DataFrame) -> DataFrame:
     ``seeds(seed)`` is a short list of items.  Items without a common user have similarity 0 and
     are not listed.
     """
-    m = item_user(transactions)
+    m = settle(item_user(transactions))
     seed_rows = m.join(seeds, F.col("item") == F.col("seed")).select("seed", "user", F.col("q").alias("q0"))
     dots = (m.join(seed_rows, "user").groupBy("seed", "item")
             .agg(F.count(F.lit(1)).alias("users"), F.sum(F.col("q") * F.col("q0")).alias("dot")))
@@ -54,7 +55,7 @@ def recommend(transactions: DataFrame, user: int, k: int = 10) -> DataFrame:
     items, each divided by its norm), so one number per user meets the matrix and no pair of
     items is ever formed.
     """
-    m = item_user(transactions)
+    m = settle(item_user(transactions))
     norms = item_norms(m)
     owned = transactions.filter(F.col("user") == user).select("item").distinct()
     weight = (m.join(owned, "item").join(norms, "item").groupBy("user")
@@ -67,7 +68,7 @@ def recommend(transactions: DataFrame, user: int, k: int = 10) -> DataFrame:
 
 def jaccard_to(transactions: DataFrame, seeds: DataFrame) -> DataFrame:
     """Users in common over users of either, for each seed and the items it shares a user with."""
-    pairs = transactions.select("item", "user").distinct()
+    pairs = settle(transactions.select("item", "user").distinct())
     sizes = pairs.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
     seed_rows = pairs.join(seeds, F.col("item") == F.col("seed")).select("seed", "user")
     common = pairs.join(seed_rows, "user").groupBy("seed", "item").agg(F.count(F.lit(1)).alias("common"))
