@@ -26,8 +26,8 @@ from brambling.operators.ordering import number_rows
 
 MAX_LENGTH = 4096
 END_ID = 2
-SLICE_BYTES = 16_000_000   # text encoded at a time
-MEMORY = 1_000_000        # runs a worker keeps the ids of
+SLICE_BYTES = 8_000_000    # text encoded at a time
+MEMORY = 300_000          # runs a worker keeps the ids of, besides those of the slice before
 
 
 def _byte_letters() -> dict[int, str]:
@@ -97,13 +97,15 @@ class Encoder:
         lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
         words = lists.flatten().dictionary_encode()
         distinct, codes = words.dictionary.to_pylist(), words.indices.to_numpy(zero_copy_only=False)
-        if len(self.runs) > self.memory:
-            self.runs, self.parts = {"": b""}, {}
         known = list(map(self.runs.get, distinct))
         new = [i for i, ids in enumerate(known) if ids is None]
         self._learn([distinct[i] for i in new])
         for i in new:
             known[i] = self.runs[distinct[i]]
+        if len(self.runs) > self.memory:         # what this slice used is what the next is likely to use
+            self.runs = dict(zip(distinct, known))
+        if len(self.parts) > self.memory:
+            self.parts = {}
         bounds = (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist()
         for lo, hi in zip(bounds[:-1], bounds[1:]):
             yield b"".join(map(known.__getitem__, codes[lo:hi].tolist()))
