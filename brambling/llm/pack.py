@@ -117,18 +117,6 @@ def binary_lengths(n: int, longest: int = MAX_LENGTH) -> list[int]:
     return [longest] * (n // longest) + [1 << k for k in range(longest.bit_length() - 2, -1, -1) if rest >> k & 1]
 
 
-_ENCODERS: dict[int, Encoder] = {}
-
-
-def _encoder(spec: str) -> Encoder:
-    """One encoder for a worker process: what it remembers serves the tasks that follow."""
-    key = zlib.crc32(spec.encode())
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(spec)
-    return _ENCODERS[key]
-
-
 def _slices(batch: pa.RecordBatch, limit: int) -> Iterable[pa.RecordBatch]:
     """Rows of about ``limit`` bytes of text each."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
@@ -154,7 +142,8 @@ def decompose(docs: DataFrame, tokenizer: str, longest: int = MAX_LENGTH, end_id
     names = ["start", "length", "ids_crc32", "doc_tokens"]
 
     def cut(batches):
-        encoder, end = _encoder(shared.value), np.array([end_id], "<u4").tobytes()
+        # one encoder a task: an idle worker keeps nothing
+        encoder, end = Encoder(shared.value), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for part in _slices(batch, SLICE_BYTES):
                 owner, rows, kept = [], [], []
