@@ -64,8 +64,8 @@ CLOSED = f"open_time <= (select max(open_time) from bars) + interval 1 hour - in
 
 
 def live(t, rules):
-    """Bars behind the watermark.  The messages come in three parts of 30 files, shuffled inside each part, with the
-    first hours once more in a late file whose older message must not count."""
+    """All bars.  The messages come in three parts of 30 files, shuffled inside each part, with the first hours once
+    more in a late file whose older message must not count; an end message gives out what the watermark still holds."""
     for name, value in trading.ROCKSDB.items():
         t.spark.conf.set(name, value)
     path = new_path(t.spark, "messages")
@@ -77,6 +77,7 @@ def live(t, rules):
     late = all_.filter(sent < first + 10 * 3_600_000).select(
         F.regexp_replace(F.regexp_replace("value", r'"E":\d', '"E":0'), r'"c":"', '"c":"9').alias("value"))
     late.coalesce(1).write.mode("append").text(path)
+    t.spark.createDataFrame([(trading.end_message(),)], "value string").coalesce(1).write.mode("append").text(path)
     parsed = SB.complete_bars(SB.parse_messages(SB.read_messages(t.spark, path)))
     run = SB.run_available(trading.live_positions(parsed, rules, f"{DELAY} days"), "positions")
     return plain_time(run.filter(~F.col("late")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -13,6 +15,9 @@ OUTPUT = ("symbol string, open_time timestamp, price double, sma double, rsi dou
 STATE = ("prices array<double>, sma double, changes bigint, gain double, loss double, rsi double, position int, waiting int, "
          "paid double, last_time timestamp")
 
+#: The series of an end message: it moves the watermark behind every bar and gives no row itself.
+END, END_TIME = "#end", 253_370_764_800_000     # 9999-01-01 in milliseconds
+
 ROCKSDB = {"spark.sql.streaming.stateStore.providerClass":
            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
@@ -67,7 +72,7 @@ class TradingProcessor(StatefulProcessor):
 
     Files and rows may come in any order within the watermark's delay.  Of several messages for a bar that is still
     held the newest counts; a message for a bar that is already behind the series' last one changes nothing and is
-    given out as a row with ``late`` set, so that it can be counted.
+    given out as a row with ``late`` set, so that it can be counted.  After an end message nothing is held any more.
     """
 
     def __init__(self, rules: Rules):
@@ -85,6 +90,8 @@ class TradingProcessor(StatefulProcessor):
         last = self._bar().last_time
         done = None if last is None else pd.Timestamp(last).tz_localize(None).value // 1000
         for batch in rows:
+            if key[0] == END:
+                continue
             late = []
             for at, price, seen in zip(batch["at"].tolist(), batch["price"].tolist(), batch["seen"].tolist()):
                 if done is not None and at <= done:
@@ -122,10 +129,16 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 def live_positions(bars: DataFrame, rules: Rules, delay: str = "2 hours") -> DataFrame:
     """Indicators, signal and carried position per complete bar, once the watermark (newest event time less ``delay``) has passed it.
 
+    What is still held when the input ends comes out with an end message (``end_message``) in the input.
     The time of the watermark itself does not go on, so that late messages reach the processor instead of being
     dropped.  Needs the RocksDB state store (``ROCKSDB``) on the session.
     """
-    held = bars.filter(F.col("price").isNotNull()).withWatermark("event_time", delay).select(
-        "symbol", F.unix_micros("open_time").alias("at"), "price", F.unix_micros("event_time").alias("seen"))
+    held = bars.filter((F.col("price").isNotNull() & F.col("open_time").isNotNull()) | (F.col("symbol") == END)).withWatermark("event_time", delay).select(
+        "symbol", F.coalesce(F.unix_micros("open_time"), F.lit(0)).alias("at"), "price", F.unix_micros("event_time").alias("seen"))
     return (held.groupBy("symbol")
             .transformWithStateInPandas(TradingProcessor(rules), outputStructType=OUTPUT, outputMode="Append", timeMode="EventTime"))
+
+
+def end_message() -> str:
+    """The message a feed leaves last, once no more bars follow."""
+    return json.dumps({"s": END, "E": END_TIME, "k": {"x": True}})

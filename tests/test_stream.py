@@ -1,14 +1,19 @@
 import json
+import os
 import time
 
+import duckdb
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
+from brambling.catalog.h_stream_queries import CLOSED
 from brambling.operators import series as S, strategy as ST
 from brambling.operators.series import Blocks
 from brambling.streaming import bars as SB, trading
 
+ROOT = "/root/testdata/sf0.001"
 RULES = ST.Rules(sma_n=4, rsi_n=5, low=45, high=60, rise=1.0, cut_loss=2.0, follow_trend=True)
 
 
@@ -109,3 +114,32 @@ def test_late_ticks_do_not_change_a_closed_bar(spark, tmp_path):
     run(ticks(), tmp_path / "out", tmp_path / "state")
     first = spark.read.parquet(str(tmp_path / "out")).orderBy("open_time").first()
     assert (first.open, first.high, first.low, first.price, first.volume) == (5.0, 7.0, 5.0, 7.0, 2.0)
+
+
+def test_end_message_gives_out_what_is_held(spark, walk, tmp_path):
+    pdf, df = walk
+    source = tmp_path / "in"
+    source.mkdir()
+    put(source, "0", [message(r.symbol, r.open_time, r.price) for r in pdf.sample(frac=1, random_state=3).itertuples()])
+    time.sleep(0.02)
+    put(source, "1", [trading.end_message()])
+    bars = SB.complete_bars(SB.parse_messages(SB.read_messages(spark, str(source), 1)))
+    run(trading.live_positions(bars, RULES, "200 hours"), tmp_path / "out", tmp_path / "state")
+    got = spark.read.parquet(str(tmp_path / "out")).toPandas().sort_values(["symbol", "open_time"], ignore_index=True)
+    want = ST.back_test(df, RULES, Blocks(rows=64)).toPandas().sort_values(["symbol", "open_time"], ignore_index=True)
+    assert not got.late.any() and got.symbol.tolist() == want.symbol.tolist() and got.price.tolist() == want.price.tolist()
+    assert got.position.tolist() == want.position.tolist() and got.rsi.fillna(-1).tolist() == pytest.approx(want.rsi.fillna(-1).tolist())
+
+
+@pytest.mark.skipif(not os.path.isdir(ROOT), reason="needs the shared test tables")
+@pytest.mark.parametrize("name", ["ss5_rolling_state", "ss6_position_state", "ss8_result_log", "ss9_monitoring_view"])
+def test_live_queries_give_every_bar(spark, name):
+    """The registered statement over all bars, without its limit to bars behind the watermark."""
+    con = duckdb.connect()
+    for f in os.listdir(ROOT):
+        con.execute(f"create view {f.split('.')[0]} as select * from '{ROOT}/{f}'")
+    cur = con.execute(entry.oracle_sql()[name].replace(f" where {CLOSED}", "").replace(f" and {CLOSED}", ""))
+    names = [d[0] for d in cur.description]
+    want = sorted(map(repr, (tuple(r[names.index(c)] for c in sorted(names)) for r in cur.fetchall())))
+    df = entry.queries()[name](spark, ROOT)
+    assert sorted(map(repr, (tuple(r) for r in df.select(*sorted(df.columns)).collect()))) == want
