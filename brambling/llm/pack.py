@@ -153,13 +153,14 @@ def decompose(docs: DataFrame, tokenizer: str, longest: int = MAX_LENGTH, end_id
                         piece = ids[4 * at:4 * (at + n)]
                         owner.append(i)
                         rows.append((at, n, zlib.crc32(piece), len(ids) // 4))
-                        if with_ids:
-                            kept.append(np.frombuffer(piece, "<u4"))
                         at += n
+                    if with_ids:
+                        kept.append(ids)
                 numbers = np.array(rows, np.int64).reshape(-1, 4)
                 columns = [part.column(0).take(pa.array(owner, pa.int64())), *[pa.array(numbers[:, k]) for k in range(4)]]
                 if with_ids:
-                    columns.append(pa.array(kept, pa.list_(pa.int64())))
+                    ends = np.concatenate([[0], np.cumsum(numbers[:, 1])]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(kept), "<u4").astype(np.int64))))
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *names, *["ids"] * with_ids])
 
     schema = f"doc_id {kind.simpleString()}, " + ", ".join(f"{n} long" for n in names) + ", ids array<long>" * with_ids
@@ -169,8 +170,28 @@ def decompose(docs: DataFrame, tokenizer: str, longest: int = MAX_LENGTH, end_id
 def pack(pieces: DataFrame) -> DataFrame:
     """Give every piece its sequence: numbers from 0, pieces of one length together, longest first.
 
-    A sequence is one piece, so ``offset`` is 0 and no place is padded.
+    A sequence is one piece, so ``offset`` is 0 and no place is padded.  Pieces are numbered by their keys; ids are
+    moved once, when they join their number.
     """
-    tagged = settle(pieces).withColumn("tag", row_tag())   # written first: sorting reads its input twice
-    numbered = number_rows(tagged, [F.desc("length"), F.xxhash64("doc_id"), "doc_id", "start", "ids_crc32", "tag"], "sequence_id")
-    return numbered.drop("tag").withColumns({"sequence_id": F.col("sequence_id") - 1, "offset": F.lit(0).cast("long")})
+    written = settle(pieces.withColumn("tag", row_tag()))
+    keys = [c for c in written.columns if c != "ids"]
+    numbered = number_rows(written.select(*keys), [F.desc("length"), F.xxhash64("doc_id"), "doc_id", "start", "ids_crc32", "tag"], "sequence_id")
+    if "ids" in written.columns:
+        numbered = numbered.join(written.select("tag", "ids"), "tag")
+    place = [(F.col("sequence_id") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")]
+    return numbered.select(*[c for c in written.columns if c != "tag"], *place)
+
+
+def digest(packed: DataFrame) -> DataFrame:
+    """``ids_crc32`` anew from the ids of each sequence, without the ids."""
+    names = [c for c in packed.columns if c != "ids"]
+
+    def sums(batches):
+        for batch in batches:
+            lists = batch.column(batch.schema.get_field_index("ids"))
+            values, ends = memoryview(lists.flatten().to_numpy().astype("<u4").tobytes()), lists.offsets.to_numpy().astype(np.int64)
+            ends = (4 * (ends - ends[0])).tolist()
+            crc = pa.array([zlib.crc32(values[lo:hi]) for lo, hi in zip(ends[:-1], ends[1:])], pa.int64())
+            yield pa.RecordBatch.from_arrays([crc if c == "ids_crc32" else batch.column(batch.schema.get_field_index(c)) for c in names], names=names)
+
+    return packed.mapInArrow(sums, packed.select(*names).schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from brambling.llm import hostrank, jaccard, langid, mix, omh, pack, pii, rules, shard, template
-from brambling.llm.common import table
+from brambling.llm.common import settle, table
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -106,5 +106,6 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 
 @query("op10_binary_packing")
 def op10(spark, root: str) -> DataFrame:
-    pieces = pack.decompose(table(spark, root, "documents"), vocabulary(), with_ids=False)
-    return pack.pack(pieces)
+    """The sequences are written with their ids; what comes out is their digest."""
+    pieces = pack.decompose(table(spark, root, "documents"), vocabulary())
+    return pack.digest(settle(pack.pack(pieces)))

@@ -30,8 +30,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of binary lengths, each a sequence."""
-    return pack.pack(pack.decompose(docs, vocabulary(), with_ids=False))
+    """Token pieces of binary lengths, each a sequence with its ids."""
+    return pack.pack(pack.decompose(docs, vocabulary()))
 
 
 STAGES = [("quality rules", quality_rules), ("n-gram Jaccard join", near_duplicates), ("PII", personal_data),

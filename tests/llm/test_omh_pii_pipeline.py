@@ -258,3 +258,15 @@ def test_pipeline_of_odd_rows(spark, odd, nothing, tmp_path):
             if name != "packing":
                 assert held.columns == docs.columns
     assert corpus_pipeline.run(spark, str(tmp_path)).columns[0] == "doc_id"
+
+
+def test_pipeline_gives_the_ids_of_its_texts(spark, documents):
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_str(corpus_pipeline.vocabulary())
+    docs = documents.limit(40)
+    packed = rows(dict(corpus_pipeline.STAGES)["packing"](spark, docs, ROOT), "doc_id", "start")
+    ids = {}
+    for r in packed:
+        assert len(r["ids"]) == r["length"]
+        ids.setdefault(r["doc_id"], []).extend(r["ids"])
+    assert ids == {r.doc_id: tokenizer.encode(r.text or "", add_special_tokens=False).ids + [pack.END_ID] for r in docs.collect()}

@@ -198,6 +198,19 @@ def test_packing_odd_rows(odd, nothing, tokenizer):
     assert pack.pack(pack.decompose(nothing, vocabulary())).count() == 0
 
 
+def ids_crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_digest_is_that_of_the_written_ids(spark, documents, monkeypatch):
+    """The query's crc comes from the ids in the written sequences, not from the encoder."""
+    cut = pack.decompose
+    monkeypatch.setattr(pack, "decompose", lambda *a, **k: cut(*a, **k).withColumn("ids_crc32", F.lit(0).cast("long")))
+    got = rows(QUERIES["op10_binary_packing"](spark, ROOT), "sequence_id")
+    want = Counter((r["doc_id"], r["start"], ids_crc(r["ids"])) for r in rows(cut(documents, vocabulary())))
+    assert Counter((r["doc_id"], r["start"], r["ids_crc32"]) for r in got) == want
+
+
 def test_runs_give_the_ids_of_the_whole_text(tokenizer):
     texts = ["", "  ", "áb é", "Don't 've it's 12 34x", "ΣΑΣ ΟΔΟΣ.", "<|endoftext|>x a<|startoftext|>", "İstanbul", " nb sp a b\x1cc\x85d",
              "日本語", "\U0001f642\U0001f44d\U0001f3fd x", "́leading", "a\x00b \x1f x", "ﬁ ½", "x" * 3000, "...!!!###</turn>", "\x01 \x02\x7f"]
