@@ -177,7 +177,8 @@ def pack(pieces: DataFrame) -> DataFrame:
     keys = [c for c in written.columns if c != "ids"]
     numbered = number_rows(written.select(*keys), [F.desc("length"), F.xxhash64("doc_id"), "doc_id", "start", "ids_crc32", "tag"], "sequence_id")
     if "ids" in written.columns:
-        numbered = numbered.join(written.select("tag", "ids"), "tag")
+        # ids are 32-bit numbers and are dealt out as such
+        numbered = numbered.join(written.select("tag", F.col("ids").cast("array<int>").alias("ids")), "tag").withColumn("ids", F.col("ids").cast("array<bigint>"))
     place = [(F.col("sequence_id") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")]
     return numbered.select(*[c for c in written.columns if c != "tag"], *place)
 
