@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from brambling.catalog.inputs import (CLUSTERED, DAILY, HOUSE, LOANS, STATUS, STATUS_SQL, TRANSACTIONS, clustered, daily, house,
+from brambling.catalog.inputs import (CLUSTERED, DAILY, HOUSE, LOANS, STATUS, STATUS_SQL, TRANSACTIONS, bars, clustered, house,
                                       is_test, is_test_sql, loans, transactions)
 from brambling.catalog.registry import query
 from brambling.functions import columns as C
@@ -162,14 +162,14 @@ def credit_frame(t):
 @query("fe12_forward_select")
 def _(t):
     df, features = credit_frame(t)
-    chosen = M.forward_select(df, "target", features, 0.3)
+    chosen = M.forward_select(df, "target", features)
     return t.spark.createDataFrame([(i, c) for i, c in enumerate(chosen)], "step int, feature string")
 
 
 @query("fe13_backward_eliminate")
 def _(t):
     df, features = credit_frame(t)
-    return t.spark.createDataFrame([(c,) for c in M.backward_eliminate(df, "target", features, 0.3)], "feature string")
+    return t.spark.createDataFrame([(c,) for c in M.backward_eliminate(df, "target", features)], "feature string")
 
 
 @query("fe14_best_features", f"with {HOUSE} select sale_id, line, quantity, retail from house")
@@ -230,12 +230,12 @@ def _(t):
 
 @query("ml6_forest_regressor")
 def _(t):
-    return E.regression_metrics(regress(t, M.forest_regressor("price", trees=20, features="2"))[1], "price", "prediction")
+    return E.regression_metrics(regress(t, M.forest_regressor("price"))[1], "price", "prediction")
 
 
 @query("ml7_gbt_regressor")
 def _(t):
-    model, scored = regress(t, M.gbt_regressor("price", rounds=10))
+    model, scored = regress(t, M.gbt_regressor("price"))
     path = new_path(t.spark, "gbt")
     model.write().overwrite().save(path)
     return E.regression_metrics(scored, "price", "prediction")
@@ -254,17 +254,17 @@ def _(t):
 
 @query("ml9_forest_classifier")
 def _(t):
-    return E.classification_report(classify(t, M.forest_classifier("target", trees=20)), "target", "yhat", [0, 1])
+    return E.classification_report(classify(t, M.forest_classifier("target")), "target", "yhat", [0, 1])
 
 
 @query("ml10_gbt_classifier")
 def _(t):
-    return E.classification_report(classify(t, M.gbt_classifier("target", rounds=10)), "target", "yhat", [0, 1])
+    return E.classification_report(classify(t, M.gbt_classifier("target")), "target", "yhat", [0, 1])
 
 
 @query("ml11_boosted_classifier")
 def _(t):
-    return E.classification_report(classify(t, M.gbt_classifier("target", rounds=10, depth=3, rate=0.3)), "target", "yhat", [0, 1])
+    return E.classification_report(classify(t, M.gbt_classifier("target", depth=3, rate=0.3)), "target", "yhat", [0, 1])
 
 
 @query("ml12_gaussian_nb", f"""with d as (select doc_id, quality as y, ln(n_chars) as a, length(source)::double as b from labels join documents using (doc_id)),
@@ -325,7 +325,7 @@ def _(t):
 @query("ml17_gaussian_mixtures")
 def _(t):
     reduced, _ = M.principal_components(vectors(t), k=4)
-    return M.gaussian_mixtures(M.assemble_array(reduced, "scores", ["vec_id"]), [1, 2, 3], starts=2, rounds=20)
+    return M.gaussian_mixtures(M.assemble_array(reduced, "scores", ["vec_id"]), list(range(1, 20)))
 
 
 @query("ml18_hierarchical")
@@ -356,8 +356,7 @@ def _(t):
 
 @query("ml21_lag_forecast")
 def _(t):
-    bars_ = daily(t).withColumn("open_time", F.col("date").cast("timestamp_ntz")).withColumn("price", F.col("close"))
-    return forecast.lag_forecast(bars_, "2024-01-22", lags=7)
+    return forecast.lag_forecast(bars(t), "2024-01-22")
 
 
 @query("ml22_embedding_reduction")

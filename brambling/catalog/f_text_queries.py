@@ -113,7 +113,7 @@ def _(t):
 
 @query("tx7_train_word_vectors")
 def _(t):
-    return corpus.train_word_vectors(texts(t), "text", size=16, window=5, epochs=1)
+    return corpus.train_word_vectors(texts(t), "text")
 
 
 @query("tx8_split_sentences", f"with {SENT} select listing, doc_id, sentence_no, sentence from sent")

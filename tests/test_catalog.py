@@ -49,3 +49,30 @@ def test_csv_keeps_types_and_nulls(spark, tmp_path):
     tables.write_csv(df, str(tmp_path / "x"))
     back = tables.read_csv(spark, str(tmp_path / "x"), df.schema)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+FULL_SIZE = {"ml6_forest_regressor": ("forest_regressor", 1), "ml7_gbt_regressor": ("gbt_regressor", 1), "ml9_forest_classifier": ("forest_classifier", 1),
+             "ml10_gbt_classifier": ("gbt_classifier", 1), "ml11_boosted_classifier": ("gbt_classifier", 1), "ml17_gaussian_mixtures": ("gaussian_mixtures", 2),
+             "fe12_forward_select": ("forward_select", 3), "fe13_backward_eliminate": ("backward_eliminate", 3)}
+
+
+class Called(Exception):
+    pass
+
+
+@pytest.mark.parametrize("name", [*FULL_SIZE, "ml21_lag_forecast", "tx7_train_word_vectors"])
+def test_model_queries_run_at_full_size(spark, monkeypatch, name):
+    """No size, level or number of rounds is passed, so that the functions' defaults hold."""
+    from brambling.operators import corpus, models
+    from brambling.plans import forecast
+    special = {"ml21_lag_forecast": (forecast, "lag_forecast", 2), "tx7_train_word_vectors": (corpus, "train_word_vectors", 2)}
+    module, function, given = special.get(name) or (models, *FULL_SIZE[name])
+
+    def seen(*a, **k):
+        raise Called(a, k)
+    monkeypatch.setattr(module, function, seen)
+    with pytest.raises(Called) as called:
+        entry.queries()[name](spark, ROOT)
+    a, k = called.value.args
+    assert len(a) == given and not {"trees", "rounds", "features", "level", "starts", "lags", "size", "window", "epochs"} & set(k)
+    assert name != "ml17_gaussian_mixtures" or a[1] == list(range(1, 20))
