@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from brambling.llm import hostrank, jaccard, langid, mix, omh, pack, pii, rules, shard, template
+from brambling.llm import crosspoly, fourrussians, hostrank, jaccard, langid, lexical, mix, omh, pack, pii, rules, shard, template
 from brambling.llm.common import settle, table
 
 QUERIES = {}
@@ -39,6 +39,32 @@ JACCARD_SQL = r"""with recursive w as (select doc_id, list_filter(string_split_r
   r as (select doc_id as a, doc_id as b from documents union select r.a, e.b from r join e on r.b = e.a)
   select doc_id, coalesce(n.n, 0) as n_shingles, c.b as component_id from documents left join n using (doc_id) join (select a as doc_id, min(b) as b from r group by 1) c using (doc_id)"""
 
+#: All pairs of usable vectors, then everything that links reach.
+VECTOR_SQL = """with recursive v as materialized (select vec_id, list_transform(embedding, lambda x: x::double) as e from embeddings),
+  u as materialized (select * from v where len(e) > 0 and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(e, lambda x: x <> 0)) > 0),
+  l as materialized (select a.vec_id as a, b.vec_id as b from u a join u b on a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.95),
+  r as (select vec_id as a, vec_id as b from v union select r.a, l.b from r join l on r.b = l.a)
+  select vec_id, (select count(*) from l where a = vec_id) as n_links, c.b as component_id, vec_id = c.b as kept from v join (select a, min(b) as b from r group by 1) c on a = vec_id"""
+
+#: Counts of the items' terms in every text, scored and ranked in 64-bit integers.
+LEXICAL_SQL = r"""with t as materialized (select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from documents),
+  d as materialized (select doc_id, count(*) as n from t group by 1), s as (select count(*) as N, sum(n)::bigint as L from d),
+  q as (select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+  f as materialized (select doc_id, term, count(*) as tf from t where term in (select term from q) group by 1, 2),
+  w as (select term, floor(1000 * ln((2.0::double * (select N from s) + 2) / (2 * count(*) + 1)))::bigint as w from f group by 1),
+  g as (select q.item_id, f.doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * (select N from s)) // (select L from s)))))::bigint as score
+    from q join f using (term) join w using (term) join d using (doc_id) group by 1, 2)
+  select item_id, rank::int as rank, doc_id, score from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from g where score > 0) where rank <= 10"""
+
+#: All scores of anchors with all rows.
+NEGATIVES_SQL = """with v as materialized (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as q from embeddings
+    where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+  s as materialized (select a.vec_id as anchor_id, a.label as own, b.vec_id, b.label, list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2]))::bigint as score from v a, v b where a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+  p as (select anchor_id, vec_id as positive_id, score as positive_score from (select *, row_number() over (partition by anchor_id order by score desc, vec_id) as k from s where label = own) where k <= 5),
+  n as (select anchor_id, positive_id, positive_score, vec_id as negative_id, score as negative_score, row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as k
+    from p join s using (anchor_id) where label <> own and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score)
+  select anchor_id, positive_id, k::int as rank, negative_id, positive_score, negative_score from n where k <= 5"""
+
 
 @query("op1_ecoc_language")
 def op1(spark, root: str) -> DataFrame:
@@ -109,3 +135,20 @@ def op10(spark, root: str) -> DataFrame:
     """The sequences are written with their ids; what comes out is their digest."""
     pieces = pack.decompose(table(spark, root, "documents"), vocabulary())
     return pack.digest(settle(pack.pack(pieces)))
+
+
+@query("op11_cross_polytope", VECTOR_SQL)
+def op11(spark, root: str) -> DataFrame:
+    return crosspoly.near_vectors(table(spark, root, "embeddings"))
+
+
+@query("op12_automaton_search", LEXICAL_SQL)
+def op12(spark, root: str) -> DataFrame:
+    return lexical.search(table(spark, root, "documents"), table(spark, root, "benchmark"))
+
+
+@query("op13_four_russians", NEGATIVES_SQL)
+def op13(spark, root: str) -> DataFrame:
+    vectors = table(spark, root, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return fourrussians.hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
