@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from brambling.catalog.c_series_queries import LIMITED, SIMPLE, TREND, fold_sql
 from brambling.catalog.inputs import BARS, bars
 from brambling.catalog.registry import query
-from brambling.session import new_path, settle
+from brambling.session import new_path, settings, settle
 from brambling.streaming import bars as SB, trading
 
 
@@ -60,14 +60,11 @@ def _(t):
 
 
 DELAY = 12    # days: more than a third of the messages' span, whose files come in any order
-CLOSED = f"open_time <= (select max(open_time) from bars) + interval 1 hour - interval {DELAY} day"
 
 
 def live(t, rules):
     """All bars.  The messages come in three parts of 30 files, shuffled inside each part, with the first hours once
     more in a late file whose older message must not count; an end message gives out what the watermark still holds."""
-    for name, value in trading.ROCKSDB.items():
-        t.spark.conf.set(name, value)
     path = new_path(t.spark, "messages")
     sent = F.get_json_object("value", "$.E").cast("bigint")
     all_ = settle(messages(t))
@@ -76,19 +73,20 @@ def live(t, rules):
         all_.filter(F.floor((sent - first) * 3 / (last - first + 1)) == k).select("value").repartition(30, F.xxhash64("value")).write.mode("append").text(path)
     late = all_.filter(sent < first + 10 * 3_600_000).select(
         F.regexp_replace(F.regexp_replace("value", r'"E":\d', '"E":0'), r'"c":"', '"c":"9').alias("value"))
-    late.coalesce(1).write.mode("append").text(path)
+    late.repartition(2).write.mode("append").text(path)
     t.spark.createDataFrame([(trading.end_message(),)], "value string").coalesce(1).write.mode("append").text(path)
     parsed = SB.complete_bars(SB.parse_messages(SB.read_messages(t.spark, path)))
-    run = SB.run_available(trading.live_positions(parsed, rules, f"{DELAY} days"), "positions")
+    with settings(t.spark, trading.ROCKSDB):
+        run = SB.run_available(trading.live_positions(parsed, rules, f"{DELAY} days"), "positions")
     return plain_time(run.filter(~F.col("late")))
 
 
-@query("ss5_rolling_state", f"with recursive {SIMPLE} select symbol, open_time, round(sma, 6) as sma, round(rsi, 6) + 0.0::double as rsi from perf where {CLOSED}")
+@query("ss5_rolling_state", f"with recursive {SIMPLE} select symbol, open_time, round(sma, 6) as sma, round(rsi, 6) + 0.0::double as rsi from perf")
 def _(t):
     return live(t, LIMITED).select("symbol", "open_time", F.round("sma", 6).alias("sma"), (F.round("rsi", 6) + 0.0).alias("rsi"))
 
 
-@query("ss6_position_state", f"with recursive {fold_sql(TREND)} select sig.symbol, sig.open_time, walk.position, walk.strategy from sig join walk using (symbol, pos) where {CLOSED}")
+@query("ss6_position_state", f"with recursive {fold_sql(TREND)} select sig.symbol, sig.open_time, walk.position, walk.strategy from sig join walk using (symbol, pos)")
 def _(t):
     return live(t, TREND).select("symbol", "open_time", "position", "strategy")
 
@@ -106,12 +104,12 @@ def _(t):
     return plain_time(t.spark.read.schema(log.schema).parquet(path))
 
 
-@query("ss8_result_log", f"with recursive {SIMPLE} select symbol, open_time, price, position, strategy from perf where strategy is not null and {CLOSED}")
+@query("ss8_result_log", f"with recursive {SIMPLE} select symbol, open_time, price, position, strategy from perf where strategy is not null")
 def _(t):
     return live(t, LIMITED).filter("strategy is not null").select("symbol", "open_time", "price", "position", "strategy")
 
 
-@query("ss9_monitoring_view", f"with recursive {SIMPLE} select symbol, open_time::date as day, count(*) as bars, count(strategy) as events, arg_max(position, pos) as position from perf where {CLOSED} group by 1, 2")
+@query("ss9_monitoring_view", f"with recursive {SIMPLE} select symbol, open_time::date as day, count(*) as bars, count(strategy) as events, arg_max(position, pos) as position from perf group by 1, 2")
 def _(t):
     log = live(t, LIMITED)
     return log.groupBy("symbol", F.to_date("open_time").alias("day")).agg(

@@ -8,7 +8,7 @@ from contextlib import contextmanager
 import numpy as np
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression, NaiveBayes,
                                        RandomForestClassifier)
-from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
+from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, GeneralizedLinearRegression, LinearRegression,
@@ -16,7 +16,7 @@ from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, Generali
 from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brambling.operators import evaluate
+from brambling.operators import evaluate, mixture
 from brambling.operators.encode import fit_medians, impute
 from brambling.operators.explore import explained_variance
 from brambling.session import settle
@@ -223,19 +223,9 @@ def elbow(vectors: DataFrame, ks: list[int], seed: int = 42) -> DataFrame:
     return _table(vectors, rows, "k int, cost double")
 
 
-def gaussian_mixtures(vectors: DataFrame, ks: list[int], starts: int = 10, rounds: int = 100) -> DataFrame:
+def gaussian_mixtures(vectors: DataFrame, ks: list[int], starts: int = mixture.STARTS, rounds: int = mixture.ROUNDS) -> DataFrame:
     """Best log-likelihood of several starts per k, with AIC and BIC (full covariances)."""
-    rows = []
-    with cached(vectors) as data:
-        n, d = data.count(), len(data.first()["features"])
-        for k in ks:
-            if k == 1:
-                best = _one_gaussian(data, n, d)
-            else:
-                best = max(GaussianMixture(k=k, seed=s, maxIter=rounds).fit(data).summary.logLikelihood for s in range(starts))
-            p = k * (d + d * (d + 1) / 2) + k - 1
-            rows.append((k, float(best), 2 * p - 2 * best, p * math.log(n) - 2 * best))
-    return _table(vectors, rows, "k int, log_likelihood double, aic double, bic double")
+    return mixture.curves(vectors, ks, starts, rounds)
 
 
 def _second_moments(vectors: DataFrame):
@@ -248,11 +238,6 @@ def _second_moments(vectors: DataFrame):
     return n, mean, corr * np.outer(spread, spread) * (n - 1) / n
 
 
-def _one_gaussian(data: DataFrame, n: int, d: int) -> float:
-    cov = _second_moments(data)[2]
-    return float(-n / 2 * (d * math.log(2 * math.pi) + np.linalg.slogdet(cov)[1] + d))
-
-
 def hierarchical(vectors: DataFrame, k: int, seed: int = 42):
     """Top-down splitting; stands in for complete linkage, which needs all pairwise distances."""
     return BisectingKMeans(k=k, seed=seed).fit(vectors)

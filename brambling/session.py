@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,6 +50,22 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings that hold inside the block and are put back after it."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

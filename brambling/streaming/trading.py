@@ -73,6 +73,10 @@ class TradingProcessor(StatefulProcessor):
     Files and rows may come in any order within the watermark's delay.  Of several messages for a bar that is still
     held the newest counts; a message for a bar that is already behind the series' last one changes nothing and is
     given out as a row with ``late`` set, so that it can be counted.  After an end message nothing is held any more.
+
+    A series has one list of held bars, appended to once a micro-batch, and one timer, set to its earliest held bar.
+    When the timer fires, the list is read once, everything behind the watermark is advanced, and the rest is
+    written back, one row a bar.
     """
 
     def __init__(self, rules: Rules):
@@ -81,38 +85,56 @@ class TradingProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.state = handle.getValueState("bar", STATE)
-        self.held = handle.getMapState("held", "at bigint", "price double, seen bigint")
+        self.held = handle.getListState("held", "at bigint, price double, seen bigint")
+        self.armed = handle.getValueState("armed", "at bigint")
 
     def _bar(self) -> Bar:
         return Bar(self.rules, tuple(self.state.get()) if self.state.exists() else None)
 
+    def _arm(self, at: int) -> None:
+        """Move the timer to a bar that comes before the one it is set to."""
+        set_to = self.armed.get()[0] if self.armed.exists() else None
+        if set_to is not None:
+            if set_to <= at:
+                return
+            self.handle.deleteTimer(set_to // 1000)
+        self.handle.registerTimer(at // 1000)
+        self.armed.update((at,))
+
     def handleInputRows(self, key, rows, timerValues):
+        if key[0] == END:
+            for _ in rows:
+                pass
+            yield _frame([])
+            return
         last = self._bar().last_time
         done = None if last is None else pd.Timestamp(last).tz_localize(None).value // 1000
+        came, late = [], []
         for batch in rows:
-            if key[0] == END:
-                continue
-            late = []
             for at, price, seen in zip(batch["at"].tolist(), batch["price"].tolist(), batch["seen"].tolist()):
-                if done is not None and at <= done:
-                    late.append((key[0], pd.Timestamp(at, unit="us"), price, None, None, None, None, None, None, True))
-                elif not self.held.containsKey((at,)):
-                    self.held.updateValue((at,), (price, seen))
-                    self.handle.registerTimer(at // 1000)
-                elif self.held.getValue((at,))[1] <= seen:
-                    self.held.updateValue((at,), (price, seen))
-            yield _frame(late)
+                (late if done is not None and at <= done else came).append((at, price, seen))
+        if came:
+            came = newest(came)
+            self.held.appendList(came)
+            self._arm(came[0][0])
+        yield _frame([(key[0], pd.Timestamp(at, unit="us"), price, None, None, None, None, None, None, True) for at, price, _ in late])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         reached = timerValues.getCurrentWatermarkInMs() * 1000
-        ready = sorted((at, value[0]) for (at,), value in self.held.iterator() if at <= reached)
+        held = newest([tuple(row) for row in self.held.get()])
+        ready, rest = [h for h in held if h[0] <= reached], [h for h in held if h[0] > reached]
+        self.armed.clear()
+        if rest:
+            self.held.put(rest)
+            self._arm(rest[0][0])
+        else:
+            self.held.clear()
         out = []
         if ready:
             bar = self._bar()
-            for at, price in ready:
+            for at, price, _ in ready:
                 time = pd.Timestamp(at, unit="us")
                 out.append((key[0], time, price, *bar.advance(time.to_pydatetime(), price), False))
-                self.held.removeKey((at,))
             self.state.update(bar.as_state())
         yield _frame(out)
 
@@ -120,6 +142,15 @@ class TradingProcessor(StatefulProcessor):
         pass
 
 
+def newest(messages: list[tuple]) -> list[tuple]:
+    """One (bar, price, seen) for each bar in time order: the newest message, of equally new ones the last."""
+    kept: dict[int, tuple] = {}
+    for message in messages:
+        if message[0] not in kept or kept[message[0]][2] <= message[2]:
+            kept[message[0]] = message
+    return sorted(kept.values())
+
+
 def _frame(rows: list[tuple]) -> pd.DataFrame:
     frame = pd.DataFrame(rows, columns=["symbol", "open_time", "price", "sma", "rsi", "rsi_ratio", "signal", "position", "strategy", "late"])
     return frame.astype({"open_time": "datetime64[us]", "price": "float64", "sma": "float64", "rsi": "float64", "rsi_ratio": "float64",
