@@ -5,12 +5,11 @@ time.  One hash of (k-mer, number) orders them and deals them into ``BINS`` bins
 stands for as many permutations; in each bin the ``PICK`` smallest are kept, put back into text order, and
 hashed as a tuple.  Two texts agree in a bin when they hold the same elements there in the same order.
 
-All steps are array expressions inside the row: a position is packed below the hash so that sorting keeps
-it, runs of equal k-mers give the occurrence numbers.
+All steps are array expressions inside the row: k-mers are sorted as pairs of a 64-bit hash and a position, and
+runs of equal hashes give the occurrence numbers.
 
 Defined cases: a null text is an empty one; a text without words has no bins, is like another such text
-(1.0) and unlike any other (0.0); a text with fewer than k words has one k-mer; positions count modulo
-2**24; the next of the last document is the first; a null id comes first; rows that share an id have the
+(1.0) and unlike any other (0.0); a text with fewer than k words has one k-mer; the next of the last document is the first; a null id comes first; rows that share an id have the
 same next document, and where that id is repeated its smallest text counts; one document is its own next; an
 empty table gives no rows; extra columns are ignored.
 """
@@ -24,15 +23,10 @@ from brambling.llm.rules import words
 from brambling.operators.ordering import sorted_blocks
 
 K, BINS, PICK = 2, 32, 2
-_BITS = 24
-_POSITION = (1 << _BITS) - 1
+_PAIRS = "array<struct<h:bigint,at:int>>"
 _NO_ID = -(1 << 63)
 
 
-def _pack(hashed: Column, position: Column) -> Column:
-    return F.shiftleft(F.shiftrightunsigned(hashed, _BITS), _BITS).bitwiseOR(position.bitwiseAND(F.lit(_POSITION)))
-
-
 def _starts(array: Column, key) -> Column:
     """Places at which the key of a sorted array changes."""
     return F.filter(F.sequence(F.lit(0), F.size(array) - 1), lambda i: (i == 0) | (key(F.get(array, i)) != key(F.get(array, i - 1))))
@@ -46,25 +40,25 @@ def fingerprints(df: DataFrame, text: str, name: str) -> DataFrame:
     keep = df.columns
     c = lambda x: F.col(f"_{x}")
     some = F.size(c("w")) > 0
-    none = F.array().cast("array<bigint>")
+    none = F.array().cast(_PAIRS)
     gram = lambda i: F.xxhash64(*[F.get(c("w"), i + k) for k in range(K)])
+    pair = lambda h, at: F.struct(h.alias("h"), at.alias("at"))
     out = df.withColumn("_w", words(col(text)))
-    order = F.transform(F.sequence(F.lit(0), F.greatest(F.size(c("w")) - K, F.lit(0))), lambda i: _pack(gram(i), i.cast("long")))
+    order = F.transform(F.sequence(F.lit(0), F.greatest(F.size(c("w")) - K, F.lit(0))), lambda i: pair(gram(i), i))
     out = out.withColumn("_p", F.when(some, F.sort_array(order)).otherwise(none))
-    out = out.withColumn("_r", F.when(some, _starts(c("p"), lambda x: F.shiftrightunsigned(x, _BITS))).otherwise(F.array().cast("array<int>")))
+    out = out.withColumn("_r", F.when(some, _starts(c("p"), lambda x: x["h"])).otherwise(F.array().cast("array<int>")))
     runs = F.transform(c("r"), lambda at, j: F.sequence(F.lit(1), F.coalesce(F.get(c("r"), j + 1), F.size(c("p"))) - at))
     alone = F.size(c("r")) == F.size(c("p"))
     out = out.withColumn("_o", F.when(alone, F.array_repeat(F.lit(1), F.size(c("p")))).otherwise(F.flatten(runs)))
-    number = F.transform(c("p"), lambda x, i: _pack(F.xxhash64(F.shiftrightunsigned(x, _BITS), F.get(c("o"), i)), x))
+    number = F.transform(c("p"), lambda x, i: pair(F.xxhash64(x["h"], F.get(c("o"), i)), x["at"]))
     out = out.withColumn("_q", F.when(F.size(c("o")) == F.size(c("p")), F.sort_array(number)).otherwise(none))
-    bin_of = lambda x: F.shiftrightunsigned(x, 64 - (BINS - 1).bit_length())
+    bin_of = lambda x: F.shiftrightunsigned(x["h"], 64 - (BINS - 1).bit_length())
     out = out.withColumn("_b", F.when(some, _starts(c("q"), bin_of)).otherwise(F.array().cast("array<int>")))
-    place = lambda x: x.bitwiseAND(F.lit(_POSITION)).cast("int")
 
     def signature(at: Column) -> Column:
         first = F.get(c("q"), at)
         taken = F.filter(F.slice(c("q"), at + 1, F.lit(PICK)), lambda x: bin_of(x) == bin_of(first))
-        in_order = F.array_sort(F.transform(taken, place))
+        in_order = F.array_sort(F.transform(taken, lambda x: x["at"]))
         tuple_hash = F.aggregate(in_order, F.lit(17).cast("long"), lambda acc, x: F.xxhash64(acc, gram(x)))
         return F.shiftleft(bin_of(first), 32).bitwiseOR(tuple_hash.bitwiseAND(F.lit(0xFFFFFFFF)))
 

@@ -1,8 +1,8 @@
 """Quality rules: text statistics and learned decision lists, as Spark column expressions.
 
 Statistics are computed inside the row from its words, without exploding them.  Three-word windows are
-hashed together with their position and sorted, so equal windows are neighbours; the words decide whether
-two neighbours are equal.
+sorted by a 64-bit hash, then by their words, then by position, so equal windows are neighbours in texts of
+every length; the words decide whether two neighbours are equal.
 
 A decision list is learned by sequential covering on a bounded sample of labelled documents: a conjunction
 of thresholds is grown by information gain on two thirds of the sample, pruned on the rest, kept if it is
@@ -28,8 +28,6 @@ from brambling.llm.common import SPACE, WORD, col, row_tag, settle
 MAX_LABELLED = 20_000   # labelled documents the rules are learned from
 MAX_RULES, MAX_LITERALS, MIN_COVER, MIN_PRECISION = 12, 3, 5, 0.95
 STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-_BITS = 20              # of a packed window that hold its position, for texts of less than 2**20 windows
-_WIDE = 31
 
 
 def words(text: Column) -> Column:
@@ -38,6 +36,10 @@ def words(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE))
 
 
+def window_hash(words: Column, i: Column) -> Column:
+    return F.xxhash64(*[F.get(words, i + k) for k in range(3)])
+
+
 def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """``row`` (the input row as a struct), the statistics of its text, all long, and ``tag``, a number of its own."""
     given = docs.select(F.struct("*").alias("row"), F.coalesce(col(text), F.lit("")).alias("t"))
@@ -47,30 +49,13 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     counted = cut.select(
         "row", "w", F.size("w").cast("long").alias("n_words"), F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         (F.octet_length("t") - F.octet_length(F.regexp_replace("t", r"[#*$%&|<>]", ""))).cast("long").alias("n_symbols"), lines.alias("lines"))
-    counted = counted.select(
-        "row", "w", "n_words", "word_chars", "n_symbols", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.when(F.size("w") < 1 << _BITS, _BITS).otherwise(_WIDE).alias("bits"))
-    # an int sequence of window positions; the packed number holds the window's hash above its position
-    last = F.size("w") - 3
-    packed = F.transform(F.sequence(F.lit(0), last), lambda i: F.call_function("shiftleft", F.call_function("shiftrightunsigned", F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)), F.col("bits")), F.col("bits")).bitwiseOR(i.cast("long")))
-    sorted_windows = counted.withColumn("p", F.when(n >= 4, F.sort_array(packed)).otherwise(F.array().cast("array<bigint>")))
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bits")) - 1
-    at = lambda k: F.get(p, k).bitwiseAND(mask).cast("int")
-
-    def equal(i: Column, d: int) -> Column:
-        """Windows i and i + d in the sorted order hold the same words."""
-        same = F.call_function("shiftrightunsigned", F.get(p, i).bitwiseXOR(F.get(p, i + d)), F.col("bits")) == 0
-        text_too = [F.get(w, at(i) + k) == F.get(w, at(i + d) + k) for k in range(3)]
-        return reduce(lambda a, b: a & b, [same, *text_too])
-
-    def repeats(d: int) -> Column:
-        """Text positions of windows that equal the one d places on in the sorted order, and of those."""
-        hits = F.filter(F.sequence(F.lit(0), F.size(p) - 1 - d), lambda i: equal(i, d))
-        return F.flatten(F.transform(hits, lambda i: F.array(at(i), at(i + d))))
-
-    none = F.array().cast("array<int>")
-    # in very long texts other windows may share the shorter hash and stand between two equal ones
-    starts = F.when(n < 4, none).when(F.col("bits") == _BITS, repeats(1)).when(F.size(p) > 3, F.concat(repeats(1), repeats(2), repeats(3))).otherwise(none)
+    counted = counted.select("row", "w", "n_words", "word_chars", "n_symbols", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"))
+    window = lambda i: F.struct(window_hash(w, i).alias("h"), *[F.get(w, i + k).alias(f"w{k}") for k in range(3)], i.alias("at"))
+    none = F.array().cast("array<struct<h:bigint,w0:string,w1:string,w2:string,at:int>>")
+    sorted_windows = counted.withColumn("p", F.when(n >= 4, F.sort_array(F.transform(F.sequence(F.lit(0), F.size(w) - 3), window))).otherwise(none))
+    same = lambda i: reduce(lambda a, b: a & b, [F.get(p, i)[c] == F.get(p, i + 1)[c] for c in ("h", "w0", "w1", "w2")])
+    hits = F.filter(F.sequence(F.lit(0), F.size(p) - 2), same)
+    starts = F.when(F.size(p) < 2, F.array().cast("array<int>")).otherwise(F.flatten(F.transform(hits, lambda i: F.array(F.get(p, i)["at"], F.get(p, i + 1)["at"]))))
     found = sorted_windows.select("row", *STATISTICS[:4], starts.alias("s"))
     covered = F.array_distinct(F.flatten(F.transform("s", lambda i: F.array(i, i + 1, i + 2))))
     # the tag is not deterministic, so a filter on the statistics that uses it stays above them; pushed below, it would

@@ -35,16 +35,14 @@ def plain_fingerprint(text):
     if not w:
         return []
     grams = [chained(*w[i:i + omh.K]) for i in range(max(len(w) - omh.K + 1, 1))]
-    order = sorted(((g >> 24 << 24) | i) - (1 << 64 if g >> 63 else 0) for i, g in enumerate(grams))
+    signed = lambda h: h - (1 << 64 if h >> 63 else 0)
     seen, numbered = Counter(), []
-    for p in order:
-        p &= MASK
-        seen[p >> 24] += 1
-        h = chained((p >> 24).to_bytes(8, "little"), seen[p >> 24].to_bytes(4, "little"))
-        numbered.append((h >> 24, p & 0xFFFFFF))
+    for g, i in sorted((signed(g), i) for i, g in enumerate(grams)):
+        seen[g] += 1
+        numbered.append((chained((g & MASK).to_bytes(8, "little"), seen[g].to_bytes(4, "little")), i))
     bins = defaultdict(list)
     for h, i in sorted(numbered):
-        bins[h >> 35].append(i)
+        bins[h >> 59].append(i)
     out = []
     for b, places in bins.items():
         acc = 17

@@ -52,6 +52,16 @@ def test_odd_rows(spark, odd, nothing):
     assert {r["doc_id"] for r in rows(kept)} == {r["doc_id"] for r in got if r["kept"]}
 
 
+def test_windows_of_one_hash_are_told_apart_by_their_words(spark, monkeypatch):
+    """Other windows of the same hash stand between equal ones."""
+    monkeypatch.setattr(rules, "window_hash", lambda words, i: F.lit(7).cast("long"))
+    rng = np.random.default_rng(2)
+    texts = ["a b c x y z a b c", *[" ".join(rng.choice(list("abcd"), n)) for n in (4, 9, 30, 80)], "p q r " * 3 + "s"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = rows(rules.with_statistics(df).select("row.doc_id", "n_repeat_words"))
+    assert [r["n_repeat_words"] for r in got] == [statistics(t)[4] for t in texts]
+
+
 def test_learned_conjunction():
     rng = np.random.default_rng(0)
     x = {"a": rng.random(3000), "b": rng.random(3000)}
