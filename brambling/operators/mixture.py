@@ -17,15 +17,13 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from brambling.operators.passes import PASS_BYTES, dealt, sums_by_model
 from brambling.session import settle
 
 SAMPLE = 2_000
-PASS_BYTES = 32_000_000
 ROUNDS, STARTS, TOLERANCE, RIDGE = 100, 10, 1e-3, 1e-6
-CHUNK = 2_048           # rows worked on at a time
 
 
 @dataclass
@@ -107,54 +105,6 @@ def _vectors(vectors: DataFrame, column: str) -> DataFrame:
     return vectors.select(x.alias("x")).filter((F.size("x") > 0) & ~bad)
 
 
-def _passed(rows: DataFrame, shift: np.ndarray, models: dict[int, Mixture]) -> dict[int, np.ndarray]:
-    """The sums of every model over all rows, taken from ``shift``; they meet by model before they reach the driver."""
-    shared = rows.sparkSession.sparkContext.broadcast((shift, {i: m.factors() for i, m in models.items()}))
-
-    def gather(batches):
-        shift, given = shared.value
-        sums = {}
-        for b in batches:
-            lists = b.column(0)
-            x = lists.flatten().to_numpy().reshape(b.num_rows, -1) - shift
-            for at in range(0, len(x), CHUNK):
-                for i, factors in given.items():
-                    new = moments(x[at:at + CHUNK], factors)
-                    sums[i] = sums[i] + new if i in sums else new
-        yield _packed(sums)
-
-    def add(batches):
-        sums = {}
-        for b in batches:
-            for i, raw in zip(b.column(0).to_pylist(), b.column(1)):
-                new = np.frombuffer(raw.as_buffer(), np.float64)
-                sums[i] = sums[i] + new if i in sums else new
-        yield _packed(sums)
-
-    schema = "model int, sums binary"
-    met = rows.mapInArrow(gather, schema).repartition("model").mapInArrow(add, schema).collect()
-    shared.unpersist()
-    return {row["model"]: np.frombuffer(row["sums"], np.float64) for row in met}
-
-
-def _packed(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], names=["model", "sums"])
-
-
-def _passes(models: dict[int, Mixture], limit: int) -> list[dict[int, Mixture]]:
-    """Models dealt to passes of at most ``limit`` bytes of sums (or one model)."""
-    out, room = [{}], limit
-    for i, m in models.items():
-        k, d = m.means.shape
-        size = 8 * (1 + k * (1 + d + d * d))
-        if size > room and out[-1]:
-            out.append({})
-            room = limit
-        out[-1][i] = m
-        room -= size
-    return out
-
-
 def fit_mixtures(vectors: DataFrame, ks: list[int], starts: int = STARTS, rounds: int = ROUNDS, tolerance: float = TOLERANCE, ridge: float = RIDGE,
                  column: str = "features", sample_rows: int = SAMPLE, pass_bytes: int = PASS_BYTES) -> tuple[dict[int, Mixture], int]:
     """The likeliest of ``starts`` models for every k after at most ``rounds`` rounds, and the number of rows.
@@ -173,8 +123,9 @@ def fit_mixtures(vectors: DataFrame, ks: list[int], starts: int = STARTS, rounds
     models = [first_guess(sample, k, s, ridge) for k in ks for s in range(1 if k == 1 else starts)]
     for turn in range(rounds + 1):
         moving = {i: m for i, m in enumerate(models) if not m.settled}
-        for wave in _passes(moving, pass_bytes) if moving else []:
-            for i, sums in _passed(rows, shift, wave).items():
+        for wave in dealt(moving, lambda m: 1 + m.k * (1 + d + d * d), pass_bytes):
+            given = {i: (shift, m.factors()) for i, m in wave.items()}
+            for i, sums in sums_by_model(rows, given, lambda x, g: moments(x - g[0], g[1])).items():
                 before, models[i].likelihood = models[i].likelihood, float(sums[0])
                 if turn == rounds or abs(models[i].likelihood - before) < tolerance * n:
                     models[i].settled = True

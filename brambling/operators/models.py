@@ -16,7 +16,7 @@ from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, Generali
 from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brambling.operators import evaluate, mixture
+from brambling.operators import evaluate, mixture, stepwise
 from brambling.operators.encode import fit_medians, impute
 from brambling.operators.explore import explained_variance
 from brambling.session import settle
@@ -87,34 +87,14 @@ def odds_table(df: DataFrame, model, features: list[str]) -> DataFrame:
     return _table(df, sorted(rows, key=lambda r: (-r[2], r[0])), "feature string, coefficient double, odds_ratio double")
 
 
-def forward_select(df: DataFrame, y: str, features: list[str], level: float = 0.05) -> list[str]:
+def forward_select(df: DataFrame, y: str, features: list[str], level: float = stepwise.LEVEL) -> list[str]:
     """Add the column with the smallest p value while it stays below the level."""
-    chosen: list[str] = []
-    with cached(df.select(y, *features).na.drop()) as data:
-        while len(chosen) < len(features):
-            trials = {}
-            for name in features:
-                if name not in chosen:
-                    model = _logit(assemble(data, [*chosen, name], [y]), y)
-                    trials[name] = model.summary.pValues[len(chosen)]
-            best = min(trials, key=lambda n: (trials[n], features.index(n)))
-            if not trials[best] < level:
-                break
-            chosen.append(best)
-    return chosen
-
-
-def backward_eliminate(df: DataFrame, y: str, features: list[str], level: float = 0.05) -> list[str]:
+    return stepwise.forward_select(df, y, features, level)
+
+
+def backward_eliminate(df: DataFrame, y: str, features: list[str], level: float = stepwise.LEVEL) -> list[str]:
     """Remove the column with the largest p value while it is at or above the level."""
-    left = list(features)
-    with cached(df.select(y, *features).na.drop()) as data:
-        while left:
-            p = _logit(assemble(data, left, [y]), y).summary.pValues[:len(left)]
-            worst = max(range(len(left)), key=lambda i: p[i])
-            if p[worst] < level:
-                break
-            left.pop(worst)
-    return left
+    return stepwise.backward_eliminate(df, y, features, level)
 
 
 # --- trees and other supervised models -----------------------------------------------------------

@@ -56,7 +56,8 @@ def test_passes_are_bounded_and_change_nothing(spark, blobs):
     vectors = rows_of(spark, blobs)
     one = X.fit_mixtures(vectors, [2, 3], 2, 10)[0]
     many = X.fit_mixtures(vectors, [2, 3], 2, 10, pass_bytes=200)[0]
-    assert len(X._passes({i: one[2] for i in range(4)}, 200)) == 4 and len(X._passes({i: one[2] for i in range(4)}, 10**6)) == 1
+    deal = lambda limit: [list(w) for w in X.dealt(dict.fromkeys(range(4)), lambda m: 10, limit)]
+    assert deal(79) == [[0], [1], [2], [3]] and deal(160) == [[0, 1], [2, 3]] and deal(10**6) == [[0, 1, 2, 3]] and X.dealt({}, len) == []
     assert all(one[k].likelihood == pytest.approx(many[k].likelihood) for k in one)
 
 
