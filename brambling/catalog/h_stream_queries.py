@@ -6,7 +6,7 @@ from brambling.catalog.c_series_queries import LIMITED, SIMPLE, TREND, fold_sql
 from brambling.catalog.inputs import BARS, bars
 from brambling.catalog.registry import query
 from brambling.session import new_path, settings, settle
-from brambling.streaming import bars as SB, trading
+from brambling.streaming import bars as SB, replace, trading
 
 
 def messages(t):
@@ -50,6 +50,39 @@ def _(t):
     return plain_time(SB.run_available(kept, "deduped")).drop("event_time", "complete")
 
 
+REPLACED = f"""with {BARS} select symbol, open_time, arg_max(price + (n * 7) % 5, n) as price, open_time::date as day from bars, range(4) r(n) group by 1, 2"""
+
+
+@query("ss3_replaced_bars", REPLACED)
+def _(t):
+    """Four messages a bar, each with another price, in files out of order: the latest takes the place of the others."""
+    n = F.explode(F.array(*[F.lit(i) for i in range(4)]))
+    told = bars(t).withColumn("n", n).select(
+        "symbol", F.col("open_time").cast("timestamp").alias("open_time"), (F.col("price") + (F.col("n") * 7) % 5).alias("price"),
+        F.to_date("open_time").alias("day"), F.col("n").cast("long").alias("seen"))
+    path = new_path(t.spark, "told")
+    told.repartition(12, F.xxhash64("symbol", "open_time", "seen")).write.parquet(path)
+    source = t.spark.readStream.schema(told.schema).option("maxFilesPerTrigger", 4).parquet(path)
+    table = replace.ReplacingTable.new(t.spark, ["symbol", "open_time"], "seen", "day")
+    replace.store_replacing(source, table, new_path(t.spark, "told-state")).awaitTermination()
+    return plain_time(table.read(t.spark)).select("symbol", "open_time", "price", "day")
+
+
+@query("io12_replace_results", f"""with {BARS}, told as (select symbol, open_time::date as day, open_time, price, dayofmonth(open_time) % 3 as k from bars)
+  select symbol, day, arg_max(price, open_time) as price, count(*) as bars from told where k <> 1 group by 1, 2
+  union all select symbol, day, 0.5::double + arg_max(price, open_time), count(*) from told where k = 1 group by 1, 2""")
+def _(t):
+    """A result log rewritten by key: first results, corrected ones for some days, and the correction once more."""
+    told = settle(bars(t).groupBy("symbol", F.to_date("open_time").alias("day")).agg(F.max_by("price", "open_time").alias("price"), F.count(F.lit(1)).alias("bars")))
+    table = replace.ReplacingTable.new(t.spark, ["symbol", "day"], "tick", "day")
+    table.merge(told.withColumn("tick", F.lit(1)), 0)
+    corrected = told.filter(F.dayofmonth("day") % 3 == 1).withColumns({"price": F.col("price") + 0.5, "tick": F.lit(2)})
+    table.merge(corrected, 1)
+    table.merge(corrected, 1)
+    table.merge(told.withColumn("tick", F.lit(1)), 2)       # older results change nothing
+    return table.read(t.spark).select("symbol", "day", "price", "bars")
+
+
 @query("ss4_tick_bars", """select event_type as symbol, time_bucket(interval 15 minute, ts) as open_time, arg_min(value, ts) as open, max(value) as high, min(value) as low, arg_max(value, ts) as price, count(*)::double as volume
   from events group by 1, 2 having time_bucket(interval 15 minute, ts) + interval 15 minute <= (select max(ts) from events) - interval 30 minute""")
 def _(t):

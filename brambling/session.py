@@ -80,3 +80,20 @@ def settle(df: DataFrame) -> DataFrame:
     path = new_path(df.sparkSession, "settled")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whatever store Spark reads the path from."""
+    files, at = _file_system(spark, path)
+    return files.exists(at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate results that nothing reads any more; no error if there is none."""
+    files, at = _file_system(spark, path)
+    files.delete(at, True)
