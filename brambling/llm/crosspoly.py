@@ -28,12 +28,12 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from brambling.llm.cells import deal, pairs_of, parts, whole_runs
 from brambling.llm.common import col, discard, settle
 from brambling.llm.components import components
 from brambling.llm.vectors import as_floats, blobs, by_width, finite, from_blobs, nonzero, unit
@@ -148,61 +148,6 @@ def _hashed(classes: DataFrame, tables: list[int], upto: int, width: int, probes
     return classes.select("cls", "copies", "vector").mapInArrow(hash_, "dim int, tab int, code long, home boolean" + more)
 
 
-def _cells(keyed: DataFrame, heavy: DataFrame | None) -> DataFrame:
-    """Adds the cell (lp, rp) and whether the row stands on its left and right side; heavy buckets' rows are dealt to several."""
-    if heavy is None:
-        return keyed.withColumns({"lp": F.lit(0), "rp": F.lit(0), "left": F.col("home"), "right": F.lit(True)})
-    met = keyed.join(heavy, ["dim", "tab", "code"], "left").withColumns({c: F.coalesce(c, F.lit(1)) for c in ("nl", "nr")})
-    lp, rp = F.pmod(F.xxhash64("cls"), F.col("nl")).cast("int"), F.pmod(F.xxhash64("cls", F.lit(1)), F.col("nr")).cast("int")
-    span = lambda n: F.sequence(F.lit(0), n.cast("int") - 1)
-    cell = lambda a, b, left, right: F.struct(a.alias("lp"), b.alias("rp"), left.alias("left"), right.alias("right"))
-    no, yes = F.lit(False), F.lit(True)
-    lefts = F.when(F.col("home"), F.transform(span(F.col("nr")), lambda k: cell(lp, k, yes, no))).otherwise(F.array().cast("array<struct<lp:int,rp:int,left:boolean,right:boolean>>"))
-    rights = F.transform(span(F.col("nl")), lambda k: cell(k, rp, no, yes))
-    whole = F.array(cell(F.lit(0), F.lit(0), F.col("home"), yes))
-    dealt = F.when((F.col("nl") == 1) & (F.col("nr") == 1), whole).otherwise(F.concat(lefts, rights))
-    return met.withColumn("_cell", F.explode(dealt)).select(*keyed.columns, "_cell.*")
-
-
-def _grouped(batches, keys: list[str]) -> Iterator[pa.RecordBatch]:
-    """Batches that end where a run of equal keys ends; a run is bounded by the size of a cell."""
-    kept: list[pa.RecordBatch] = []
-    for b in batches:
-        if not b.num_rows:
-            continue
-        if kept:
-            b = pa.Table.from_batches([*kept, b]).combine_chunks().to_batches()[0]
-        change = np.zeros(b.num_rows - 1, bool)
-        for k in keys:
-            v = b.column(b.schema.get_field_index(k)).to_numpy(zero_copy_only=False)
-            change |= v[1:] != v[:-1]
-        ends = np.flatnonzero(change)
-        cut = int(ends[-1]) + 1 if len(ends) else 0
-        if cut:
-            yield b.slice(0, cut)
-        kept = [b.slice(cut)]
-    if kept:
-        yield kept[0]
-
-
-def _enumerate(start: np.ndarray, left: np.ndarray, right: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Row numbers of all (left, right) in every group, at most about ``most`` pairs at a time."""
-    group = np.cumsum(start) - 1
-    r_at = np.flatnonzero(right)
-    r_count = np.bincount(group[r_at], minlength=group[-1] + 1)
-    r_first = np.concatenate([[0], np.cumsum(r_count)[:-1]])
-    l_at = np.flatnonzero(left)
-    load = np.cumsum(r_count[group[l_at]])
-    lo = 0
-    while lo < len(l_at):
-        hi = max(int(np.searchsorted(load, (load[lo - 1] if lo else 0) + most, "right")), lo + 1)
-        part = l_at[lo:hi]
-        k = r_count[group[part]]
-        inside = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-        yield np.repeat(part, k), r_at[np.repeat(r_first[group[part]], k) + inside]
-        lo = hi
-
-
 def exact_cosine(x: np.ndarray, y: np.ndarray) -> float:
     """Cosine with exactly rounded sums."""
     return math.fsum(x * y) / math.sqrt(math.fsum(x * x) * math.fsum(y * y))
@@ -235,7 +180,7 @@ def _compared(cells: DataFrame, table: int, probes: int, threshold: float, kind:
     keys = ["dim", "code", "lp", "rp"]
 
     def compare(batches):
-        for b in _grouped(batches, keys):
+        for b in whole_runs(batches, keys):
             get = lambda c: b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False)
             dim, key = get("dim"), {k: get(k) for k in keys}
             edge = np.concatenate([[0], np.flatnonzero(dim[1:] != dim[:-1]) + 1, [len(dim)]])
@@ -252,7 +197,7 @@ def _compared(cells: DataFrame, table: int, probes: int, threshold: float, kind:
                 held = from_blobs(held, "<i8", wide * (table + 1)).reshape(-1, table + 1, wide)
                 home, left, right = get("home")[part], get("left")[part], get("right")[part]
                 total, links = np.zeros(hi - lo, np.int64), []
-                for i, j in _enumerate(start, left, right, 2_000_000 // max(d, 8)):
+                for i, j in pairs_of(start, left, right, 2_000_000 // max(d, 8)):
                     keep = (cls[i] != cls[j]) & ~(home[j] & (cls[i] > cls[j]))
                     i, j = i[keep], j[keep]
                     yes = _linked(x, i, j, threshold)
@@ -292,12 +237,11 @@ def near_vectors(df: DataFrame, threshold: float = THRESHOLD, id: str = "vec_id"
         kind = "<f4" if "array<float>" in dict(classes.dtypes).values() else "<f8"
         sizes = (_hashed(classes, list(range(tables)), 0, width, probes, seed, False).groupBy("dim", "tab", "code")
                  .agg(F.count_if("home").alias("h"), F.count(F.lit(1)).alias("r")).filter((F.col("h") > 0) & (F.col("r") > cell)))
-        parts = lambda c: F.ceil(F.col(c) / cell).cast("long")
-        heavy = settle(sizes.select("dim", "tab", "code", parts("h").alias("nl"), parts("r").alias("nr")))
+        heavy = settle(sizes.select("dim", "tab", "code", parts("h", cell).alias("nl"), parts("r", cell).alias("nr")))
         hot = {row["tab"] for row in heavy.select("tab").distinct().collect()}
         for t in range(tables):
             keyed = _hashed(classes, [t], t, width, probes, seed, True)
-            found.append(settle(_compared(_cells(keyed, heavy if t in hot else None), t, probes, threshold, kind)))
+            found.append(settle(_compared(deal(keyed, heavy if t in hot else None), t, probes, threshold, kind)))
     met = classes.select("cls", "rep", "copies").withColumns({"n": F.lit(0).cast("long"), "component": F.col("cls")})
     if found:
         all_ = found[0]

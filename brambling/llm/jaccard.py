@@ -12,10 +12,12 @@ classes link when 100 * intersection >= threshold * union.
 3. *Candidates.*  Two linked sets share one of their first |x| - ceil(t|x|) + 1 n-grams in that order.
    Every bucket of such an n-gram has a hub, another in each round, and every set is compared with one hub of
    its buckets a round; what links is contracted to components, and buckets whose members are in one component
-   are done.  After the hub rounds, all members
-   outside the largest component of a bucket are compared with the members of other components in it, so
-   every link between different components is found while copies of one text never form all pairs.
-4. *Partial overlaps.*  Each fragment counts the overlap of its segments of a pair; the sum over fragments
+   are done.  After the hub rounds, the members outside the largest component of a bucket are compared with those
+   of other components in it, in cells of bounded size whose pairs never become rows.
+4. *Bitmaps.*  A set has a bitmap of ``BITS`` parities of its n-grams' hashes.  Two sets differ in at least as many
+   n-grams as their bitmaps differ in bits, so a candidate whose bitmaps differ too much cannot link; only what
+   this bound leaves goes on.  Nothing that links is lost.
+5. *Partial overlaps.*  Each fragment counts the overlap of its segments of a pair; the sum over fragments
    is the exact intersection.
 
 Defined cases: null, empty and blank texts have no set, link with nothing and form components of their own
@@ -30,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from brambling.llm.cells import deal, pairs_of, parts, whole_runs
 from brambling.llm.common import col, discard, settle
 from brambling.llm.components import components
 from brambling.llm.shingles import shingles
@@ -38,6 +41,8 @@ THRESHOLD = 75      # percent
 SLICE = 0.35        # share of the hash range in which lonely n-grams are counted
 FRAGMENTS = 4
 HUB_ROUNDS = 4
+BITS = 1_024        # of a set's bitmap
+CELL = 2_048        # members of a bucket compared in one cell
 _DF_CAP, _FP_BITS = (1 << 20) - 1, 43
 
 
@@ -77,21 +82,29 @@ def _sliced(docs: DataFrame, n: int, text: str, share: float) -> DataFrame:
     return docs.select(col(text).alias("text")).mapInArrow(cut, "gram long, cls long")
 
 
+def bitmap(grams: np.ndarray) -> np.ndarray:
+    """How many of the hashes fall on each of ``BITS`` places, odd or even."""
+    place = ((grams >> np.uint64(20)) & np.uint64(BITS - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=BITS) & 1).astype(np.uint8), bitorder="little").view("<i8").astype(np.int64)
+
+
 def _sets(docs: DataFrame, n: int, text: str) -> DataFrame:
-    """(cls, n, grams) per row with a word."""
+    """(cls, n, grams, bits) per row with a word; ``bits`` are parities, 64 in a number."""
 
     def cut(batches):
         for b in batches:
-            cls, size, sets = [], [], []
+            cls, size, sets, bits = [], [], [], [np.empty(0, np.int64)]
             for _, grams, whole in shingles(b.column(0), n):
                 cls.append(np.uint64(whole).astype(np.int64))
                 size.append(len(grams))
                 sets.append(grams.view(np.int64))
+                bits.append(bitmap(grams))
             flat = np.concatenate([np.empty(0, np.int64), *sets])
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(size, pa.int64()), lists], names=["cls", "n", "grams"])
+            maps = pa.ListArray.from_arrays(pa.array(np.arange(len(cls) + 1) * (BITS // 64), pa.int32()), pa.array(np.concatenate(bits)))
+            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(size, pa.int64()), lists, maps], names=["cls", "n", "grams", "bits"])
 
-    return docs.select(col(text).alias("text")).mapInArrow(cut, "cls long, n long, grams array<long>")
+    return docs.select(col(text).alias("text")).mapInArrow(cut, "cls long, n long, grams array<long>, bits array<long>")
 
 
 def _survivors(docs: DataFrame, classes: DataFrame, n: int, text: str, threshold: int) -> DataFrame:
@@ -123,6 +136,13 @@ def _fragments(ordered: DataFrame, fragments: int) -> DataFrame:
     return (ordered.select("cls", F.posexplode(segments).alias("frag", "grams")).filter(F.size("grams") > 0))
 
 
+def _possible(pairs: DataFrame, bits: DataFrame, threshold: int) -> DataFrame:
+    """Candidates whose bitmaps differ in no more bits than linked sets may differ in n-grams."""
+    a, b = (bits.select(F.col("cls").alias(side), F.col("bits").alias(f"x{side}")) for side in "ab")
+    differ = F.aggregate(F.zip_with("xa", "xb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, x: s + x)
+    return pairs.join(a, "a").join(b, "b").filter((100 + threshold) * differ <= (100 - threshold) * (F.col("na") + F.col("nb"))).select(*pairs.columns)
+
+
 def verify(pairs: DataFrame, segments: DataFrame, threshold: int = THRESHOLD, fragments: int = FRAGMENTS) -> DataFrame:
     """Pairs (a, b) that link: partial overlaps are counted fragment by fragment and summed per pair."""
     pairs = pairs.withColumn("frag", F.explode(F.array(*[F.lit(k) for k in range(fragments)])))
@@ -153,33 +173,54 @@ def _hub_pairs(members: DataFrame, turn: int, threshold: int) -> DataFrame:
     return met.groupBy("cls", "n").agg(F.min("hub").alias("hub")).select("cls", "n", "hub.*").select(*pair).distinct()
 
 
-def _rest_pairs(members: DataFrame, threshold: int) -> DataFrame:
-    """All members outside a bucket's largest component against those of other components in the bucket."""
+def _rest_pairs(members: DataFrame, bits: DataFrame, threshold: int, cell: int) -> DataFrame:
+    """Members outside a bucket's largest component against those of other components in the bucket, if their bitmaps allow a link."""
     sizes = members.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("k"))
     most = (sizes.groupBy("gram").agg(F.max(F.struct("k", F.col("comp").alias("main"))).alias("m"), F.count(F.lit(1)).alias("comps"))
             .filter(F.col("comps") > 1).select("gram", "m.main"))
-    split = members.join(most, "gram")
-    minor = split.filter(F.col("comp") != F.col("main")).select("gram", F.col("cls").alias("hcls"), F.col("n").alias("hn"), F.col("comp").alias("hcomp"))
-    fits, pair = _as_pair(threshold)
-    return split.join(minor, "gram").filter((F.col("comp") != F.col("hcomp")) & fits).select(*pair).distinct()
-
-
-def link_classes(sets: DataFrame, threshold: int = THRESHOLD, fragments: int = FRAGMENTS) -> DataFrame:
-    """(node, component) of the classes that link to another; ``sets`` are (cls, n, grams), each class once,
+    split = settle(members.join(most, "gram").select(F.lit(0).alias("dim"), F.lit(0).alias("tab"), F.col("gram").alias("code"), (F.col("comp") != F.col("main")).alias("home"), "cls", "n", "comp"))
+    heavy = settle(split.groupBy("dim", "tab", "code").agg(F.count_if("home").alias("h"), F.count(F.lit(1)).alias("r")).filter(F.col("r") > cell)
+                   .select("dim", "tab", "code", parts("h", cell).alias("nl"), parts("r", cell).alias("nr")))
+    keys = ["code", "lp", "rp"]
+
+    def compare(batches):
+        for b in whole_runs(batches, keys):
+            get = lambda c: b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False)
+            cls, n, comp, home = (get(c) for c in ("cls", "n", "comp", "home"))
+            x = b.column(b.schema.get_field_index("bits")).flatten().to_numpy().view(np.uint64).reshape(b.num_rows, -1)
+            start = np.ones(b.num_rows, bool)
+            start[1:] = np.any([get(k)[1:] != get(k)[:-1] for k in keys], 0)
+            for i, j in pairs_of(start, get("left"), get("right"), 50_000):
+                fits = (comp[i] != comp[j]) & (~home[j] | (cls[i] < cls[j])) & (100 * np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]))
+                i, j = i[fits], j[fits]
+                differ = np.bitwise_count(x[i] ^ x[j]).sum(1, dtype=np.int64)
+                near = (100 + threshold) * differ <= (100 - threshold) * (n[i] + n[j])
+                i, j = i[near], j[near]
+                i, j = np.where(cls[i] < cls[j], i, j), np.where(cls[i] < cls[j], j, i)
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (cls[i], cls[j], n[i], n[j])], names=["a", "b", "na", "nb"])
+
+    dealt = deal(split.join(bits, "cls"), None if heavy.isEmpty() else heavy).repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.select(*keys, "left", "right", "home", "cls", "n", "comp", "bits").mapInArrow(compare, "a long, b long, na long, nb long").distinct()
+
+
+def link_classes(sets: DataFrame, threshold: int = THRESHOLD, fragments: int = FRAGMENTS, cell: int = CELL) -> DataFrame:
+    """(node, component) of the classes that link to another; ``sets`` are (cls, n, grams, bits), each class once,
     in a settled table that is removed when the ordered sets are written."""
     ordered = settle(_ordered(sets, threshold))
+    bits = settle(sets.select("cls", "bits").join(ordered.select("cls"), "cls", "left_semi"))
     discard(sets)
-    segments = _fragments(ordered, fragments)
+    segments = settle(_fragments(ordered, fragments))
     first = F.col("n") - _least_shared(F.col("n"), threshold) + 1 - (F.col("n") - F.size("toks"))
     prefix = (ordered.withColumn("first", first.cast("int")).filter(F.col("first") > 0)
               .select("cls", "n", F.explode(F.slice("toks", F.lit(1), F.col("first"))["gram"]).alias("gram")))
     prefix = settle(prefix)
+    discard(ordered)
     edges, found = None, None
     for turn in range(HUB_ROUNDS + 1):
         members = prefix.withColumn("comp", F.col("cls"))
         if found is not None:
             members = prefix.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
-        pairs = settle(_hub_pairs(members, turn, threshold) if turn < HUB_ROUNDS else _rest_pairs(members, threshold))
+        pairs = settle(_possible(_hub_pairs(members, turn, threshold), bits, threshold) if turn < HUB_ROUNDS else _rest_pairs(members, bits, threshold, cell))
         if pairs.isEmpty():
             if turn < HUB_ROUNDS:
                 continue
@@ -189,7 +230,11 @@ def link_classes(sets: DataFrame, threshold: int = THRESHOLD, fragments: int = F
         edges = linked if edges is None else edges.union(linked)
         if not linked.isEmpty():
             found = settle(components(edges if found is None else linked.union(found.select(F.col("node").alias("a"), F.col("component").alias("b")))))
-    return found if found is not None else prefix.select(F.col("cls").alias("node"), F.col("cls").alias("component")).limit(0)
+    if found is None:
+        return prefix.select(F.col("cls").alias("node"), F.col("cls").alias("component")).limit(0)
+    for spent in (prefix, segments, bits):
+        discard(spent)
+    return found
 
 
 def _resolve(docs: DataFrame, n: int, threshold: int, id: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -199,7 +244,7 @@ def _resolve(docs: DataFrame, n: int, threshold: int, id: str, text: str) -> tup
     alive = settle(_survivors(docs, classes, n, text, threshold))
     reps = alive.select(F.col("rep").alias("_rep")).distinct()
     texts = docs.select(col(id).alias("_id"), col(text).alias("text")).join(reps, F.col("_id").eqNullSafe(F.col("_rep")), "left_semi")
-    sets = settle(_sets(texts, n, "text").groupBy("cls", "n").agg(F.first("grams").alias("grams")))
+    sets = settle(_sets(texts, n, "text").groupBy("cls", "n").agg(F.first("grams").alias("grams"), F.first("bits").alias("bits")))
     linked = link_classes(sets, threshold)
     named = classes.join(linked.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))

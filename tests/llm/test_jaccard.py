@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from brambling.llm import jaccard
@@ -66,6 +67,44 @@ def test_families_of_near_copies(spark):
     compare(jaccard.near_duplicates(df), docs)
 
 
+def test_cells_alone_find_every_link(spark, monkeypatch):
+    """No hub rounds: all links come out of crowded buckets cut into cells of 7 members."""
+    monkeypatch.setattr(jaccard, "HUB_ROUNDS", 0)
+    monkeypatch.setattr(jaccard.link_classes, "__defaults__", (75, 4, 7))
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefgh", k=3))
+    original, docs = [word() for _ in range(50)], []
+    for d in range(45):
+        copy = list(original)
+        for _ in range(rng.randrange(4)):
+            copy[rng.randrange(50)] = word()
+        docs.append((d, " ".join(copy)))
+    docs += [(100 + i, " ".join([word() for _ in range(30)])) for i in range(10)]
+    compare(jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")), docs)
+
+
+def test_a_common_line_makes_few_candidates(spark, monkeypatch):
+    """Texts that share a line, but do not link, are not verified pair by pair; a family of near copies is linear."""
+    rng = random.Random(10)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    line, original = [word() for _ in range(14)], [word() for _ in range(60)]
+    docs = [(i, " ".join(line + [word() for _ in range(9)])) for i in range(120)]
+    docs += [(500 + i, " ".join([*original[:k], word(), *original[k:]])) for i, k in enumerate(range(0, 60))]
+    seen, verify = [], jaccard.verify
+    monkeypatch.setattr(jaccard, "verify", lambda pairs, *a: (seen.append(pairs.count()), verify(pairs, *a))[1])
+    compare(jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")), docs)
+    assert sum(seen) <= 4 * len(docs)
+
+
+def test_bitmaps_never_differ_in_more_bits_than_sets_in_ngrams():
+    rng = np.random.default_rng(1)
+    for n in (1, 5, 300, 4000):
+        x = rng.integers(0, 2**64, n, np.uint64)
+        y = np.unique(np.concatenate([x[:n // 2], rng.integers(0, 2**64, n, np.uint64)]))
+        differ = int(np.bitwise_count((jaccard.bitmap(x) ^ jaccard.bitmap(y)).view(np.uint64)).sum())
+        assert differ <= len(np.setxor1d(x, y)) and jaccard.bitmap(x).shape == (jaccard.BITS // 64,)
+
+
 def test_odd_rows(odd, nothing):
     compare(jaccard.near_duplicates(odd), [(r[0], r[1]) for r in ODD])
     assert jaccard.near_duplicates(nothing).count() == 0

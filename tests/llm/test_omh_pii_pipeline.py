@@ -219,30 +219,45 @@ def test_redaction():
 
 # ---- pipeline ----
 
-def test_each_stage_against_its_definition(spark, documents):
-    docs, kept = documents, {}
-    for name, stage in corpus_pipeline.STAGES:
-        out = settle(stage(spark, docs, ROOT))
-        if name != "packing":
-            assert out.columns == documents.columns
-        kept[name] = (docs, out)
-        docs = out
-    before, after = kept["quality rules"]
-    judged = rules.judge(before, rules.fit(before, spark.read.parquet(f"{ROOT}/labels.parquet")))
+@pytest.fixture(scope="module")
+def few(documents):
+    return settle(documents.orderBy("doc_id").limit(48))
+
+
+def staged(spark, name, docs):
+    out = settle(dict(corpus_pipeline.STAGES)[name](spark, docs, ROOT))
+    assert name == "packing" or out.columns == docs.columns
+    return out
+
+
+def test_quality_stage_keeps_what_the_rules_keep(spark, few):
+    after = staged(spark, "quality rules", few)
+    judged = rules.judge(few, rules.fit(few, spark.read.parquet(f"{ROOT}/labels.parquet")))
     assert sorted(r.doc_id for r in judged.filter("kept").select("row.doc_id").collect()) == sorted(r.doc_id for r in after.collect())
-    before, after = kept["n-gram Jaccard join"]
-    given = [(r.doc_id, r.text) for r in before.collect()]
-    assert {r.doc_id for r in after.collect()} == {c for _, _, c in brute(given)} and after.count() == len({c for _, _, c in brute(given)})
-    before, after = kept["PII"]
-    assert after.count() == before.count() and not any(plain_base(r.text) for r in after.collect())
-    clean = {r.doc_id: r.text for r in before.collect() if not plain_base(r.text)}
-    same = {r.doc_id: r.text for r in after.collect()}
-    assert sum(same[i] == t for i, t in clean.items()) >= 0.95 * len(clean)
-    before, after = kept["mixing sources to target weights"]
-    copies = {r["doc_id"]: r["copies"] for r in rows(mix.mix(before, F.array("source")))}
-    assert Counter(r.doc_id for r in after.collect()) == Counter({i: c for i, c in copies.items() if c})
-    before, after = kept["packing"]
-    assert after.agg(F.sum("length")).first()[0] == pack.decompose(before, corpus_pipeline.vocabulary()).agg(F.sum("length")).first()[0]
+
+
+def test_join_stage_keeps_one_of_each_group(spark, few):
+    after = [r.doc_id for r in staged(spark, "n-gram Jaccard join", few).collect()]
+    assert sorted(after) == sorted({c for _, _, c in brute([(r.doc_id, r.text) for r in few.collect()])})
+
+
+def test_personal_data_stage_redacts(spark, few):
+    before, after = few.collect(), {r.doc_id: r.text for r in staged(spark, "PII", few).collect()}
+    assert len(after) == len(before) and not any(plain_base(t) for t in after.values())
+    clean = [r for r in before if not plain_base(r.text)]
+    assert sum(after[r.doc_id] == r.text for r in clean) >= 0.95 * len(clean)
+
+
+def test_mixing_stage_repeats_what_the_mix_repeats(spark, few):
+    copies = {r["doc_id"]: r["copies"] for r in rows(mix.mix(few, F.array("source")))}
+    after = staged(spark, "mixing sources to target weights", few).collect()
+    assert Counter(r.doc_id for r in after) == Counter({i: c for i, c in copies.items() if c})
+
+
+def test_stages_come_in_order_and_the_first_two_feed_the_rest(spark, few):
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "n-gram Jaccard join", "PII", "mixing sources to target weights", "packing"]
+    held = staged(spark, "n-gram Jaccard join", staged(spark, "quality rules", few))
+    assert {r.doc_id for r in held.collect()} <= {r.doc_id for r in few.collect()} and held.count() > 0
 
 
 def test_pipeline_of_odd_rows(spark, odd, nothing, tmp_path):
