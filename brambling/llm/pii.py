@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brambling.llm.common import col
+from brambling.llm.common import col, settle
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS, SAMPLE_WINDOWS = 800, 1_500     # bounds of what is learned from
@@ -393,8 +393,11 @@ def reconcile(text: str, base: list[Span], proposed: list[tuple[str, int, int, f
 # ---- tables ----
 
 def fit(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) -> Network | None:
-    """Train on windows of at most ``sample_docs`` documents with a digit or an at-sign; None if no span is labelled."""
-    some = docs.filter(col(text).rlike("[0-9@]")).select(col(text).alias("text")).orderBy(F.xxhash64("text"), "text").limit(sample_docs)
+    """Train on windows of at most ``sample_docs`` different texts with a digit or an at-sign; None if no span is labelled."""
+    some = docs.filter(col(text).rlike("[0-9@]")).select(F.xxhash64(col(text)).alias("h"), col(text).alias("text"))
+    # the keys are chosen first, so that no task sends whole texts that are not in the sample; copies count once
+    keys = settle(some.select("h").distinct().orderBy("h").limit(sample_docs))
+    some = some.join(keys, "h").groupBy("h").agg(F.min("text").alias("text")).orderBy("h", "text").select("text")
 
     def windows(batches):
         texts = [t for b in batches for t in b.column(0).to_pylist()]
