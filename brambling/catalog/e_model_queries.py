@@ -64,7 +64,17 @@ def _(t):
   (segment = 'HOUSEHOLD')::int as "segment_HOUSEHOLD", (segment = 'MACHINERY')::int as "segment_MACHINERY" from loans where {is_test_sql('loan_id')}""")
 def _(t):
     train, test = halves(loans(t), "loan_id")
-    return encode.dummies(test, encode.fit_categories(train, ["segment"]), ["loan_id"])
+    return encode.dummies(test, encode.fit_categories(train, ["segment"])[0], ["loan_id"])
+
+
+@query("fe6_sparse_dummies", f"""with {LOANS}, v as (select distinct 0 as k, segment as value from loans where not {is_test_sql('loan_id')} union select distinct 1, nation::varchar from loans where not {is_test_sql('loan_id')} and nation is not null),
+  later as (select k, value from (select *, row_number() over (partition by k order by value) as nth from v where value is not null) where nth > 1), p as (select k, value, row_number() over (order by k, value) - 1 as position from later)
+  select loan_id, array_to_string(list_sort(list_filter([a.position, b.position], lambda x: x is not null)), ',') as hot
+  from loans left join p a on a.k = 0 and a.value = segment left join p b on b.k = 1 and b.value = nation::varchar where {is_test_sql('loan_id')}""")
+def _(t):
+    train, test = halves(loans(t), "loan_id")
+    hot = encode.sparse_dummies(test.select("loan_id", "segment", "nation"), encode.fit_positions(train, ["segment", "nation"]))
+    return hot.select("loan_id", F.array_join(F.transform("hot", lambda x: x.cast("string")), ",").alias("hot"))
 
 
 def prepared_sql(source, numbers):

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from brambling.operators import encode
 from brambling.operators.cleanse import cap_dict
 from brambling.operators.lookup import sized
-from brambling.session import settle
+from brambling.session import exists, settle
 from brambling.sources.tables import load_fit, save_fit
 
 
@@ -43,6 +43,7 @@ class Fitted:
     medians: dict[str, float]
     ranges: dict[str, tuple[float, float]]
     categories: dict[str, list]
+    positions: DataFrame | None = None      # of columns with very many categories
 
     def filled(self, df: DataFrame) -> DataFrame:
         for column, name in self.recipe.coded:
@@ -52,14 +53,17 @@ class Fitted:
     def apply(self, df: DataFrame) -> DataFrame:
         r = self.recipe
         scaled = encode.scale(self.filled(r.start(df)), self.ranges)
-        return encode.dummies(scaled, self.categories, [*r.keep, *r.numeric])
+        if self.positions is None:
+            return encode.dummies(scaled, self.categories, [*r.keep, *r.numeric])
+        hot = encode.sparse_dummies(scaled, self.positions)      # one more column: where the ones of wide columns are
+        return encode.dummies(hot, self.categories, [*r.keep, *r.numeric, "hot"])
 
     @property
     def features(self) -> list[str]:
         return [*self.recipe.numeric, *[f"{c}_{v}" for c, vs in self.categories.items() for v in vs[1:]]]
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Three Parquet tables: codes, numbers, categories."""
+        """Parquet tables: codes, numbers, categories, and positions if there are any."""
         codes = None
         for name, table in self.codes.items():
             category, code = table.columns
@@ -74,6 +78,8 @@ class Fitted:
         save_fit(codes, f"{path}/codes")
         save_fit(spark.createDataFrame(numbers, "column string, measure string, value double"), f"{path}/numbers")
         save_fit(spark.createDataFrame(kinds, "column string, position int, value string"), f"{path}/categories")
+        if self.positions is not None:
+            save_fit(self.positions, f"{path}/positions")
 
 
 def fit(recipe: Recipe, train: DataFrame) -> Fitted:
@@ -87,8 +93,7 @@ def fit(recipe: Recipe, train: DataFrame) -> Fitted:
         coded = coded.join(codes[name], column, "left")
     medians = encode.fit_medians(coded, list(recipe.impute)) if recipe.impute else {}
     filled = encode.impute(coded, medians)
-    return Fitted(recipe, codes, medians, encode.fit_ranges(filled, list(recipe.numeric)),
-                  encode.fit_categories(filled, list(recipe.categorical)))
+    return Fitted(recipe, codes, medians, encode.fit_ranges(filled, list(recipe.numeric)), *encode.fit_categories(filled, list(recipe.categorical)))
 
 
 def load(spark: SparkSession, recipe: Recipe, path: str) -> Fitted:
@@ -100,4 +105,5 @@ def load(spark: SparkSession, recipe: Recipe, path: str) -> Fitted:
               for c, name in recipe.coded}
     return Fitted(recipe, tables, {c: value[c, "median"] for c in recipe.impute},
                   {c: (value[c, "low"], value[c, "high"]) for c in recipe.numeric},
-                  {c: [r["value"] for r in kinds if r["column"] == c] for c in recipe.categorical})
+                  {c: [r["value"] for r in kinds if r["column"] == c] for c in recipe.categorical},
+                  load_fit(spark, f"{path}/positions") if exists(spark, f"{path}/positions") else None)
