@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from brambling.catalog.inputs import TRANSACTIONS, is_test, is_test_sql, transactions
 from brambling.catalog.registry import query
 from brambling.functions import text as T
-from brambling.operators import corpus, graph, recommend, search
+from brambling.operators import corpus, graph, recommend, search, similar
 from brambling.operators.ordering import top_k
 from brambling.plans import hotel, topics
 from brambling.session import settle
@@ -237,6 +237,14 @@ def _(t):
     return recommend.similar_to(tr, owned).withColumn("similarity", F.round("similarity", 6))
 
 
+@query("rc2_similar_items", f"""with {M}, d as (select a.item as seed, b.item, count(*) as users, sum(a.q * b.q) as dot from m a join m b on a."user" = b."user" and a.item <> b.item group by 1, 2),
+  s as (select seed, d.item, users, dot / (n.norm * n0.norm) as s from d join norm n on n.item = d.item join norm n0 on n0.item = d.seed),
+  r as (select *, row_number() over (partition by seed order by round(s, 9) desc, item) as rank from s) select seed, item, rank, users, round(s, 6) as similarity from r where rank <= 5""")
+def _(t):
+    """The five items most like every item."""
+    return similar.similar_items(transactions(t)).withColumn("similarity", F.round("similarity", 6))
+
+
 @query("rc3_recommend", f"""with {M}, own as (select distinct item from transactions where "user" = 10), d as (select a.item as seed, b.item, sum(a.q * b.q) as dot from m a join own using (item) join m b using ("user") group by 1, 2),
   s as (select d.item, sum(dot / (n.norm * n0.norm)) as score from d join norm n on n.item = d.item join norm n0 on n0.item = d.seed where d.item not in (select item from own) group by 1)
   select item, round(score, 6) as score from s order by round(score, 9) desc, item limit 10""")
@@ -253,6 +261,14 @@ def _(t):
     return recommend.jaccard_to(tr, owned).withColumn("jaccard", F.round("jaccard", 6))
 
 
+@query("rc4_similar_by_users", f"""with {TRANSACTIONS}, p as (select distinct item, "user" from transactions), sz as (select item, count(*) as n from p group by 1),
+  c as (select a.item as seed, b.item, count(*) as users from p a join p b on a."user" = b."user" and a.item <> b.item group by 1, 2),
+  s as (select seed, c.item, users, users / (s.n + s0.n - users) as s from c join sz s on s.item = c.item join sz s0 on s0.item = c.seed),
+  r as (select *, row_number() over (partition by seed order by round(s, 9) desc, item) as rank from s) select seed, item, rank, users, round(s, 6) as similarity from r where rank <= 5""")
+def _(t):
+    return similar.similar_items(transactions(t), cosine=False).withColumn("similarity", F.round("similarity", 6))
+
+
 # --- term graphs -------------------------------------------------------------------------------
 
 # the lexicon is read off the words themselves: a tag by hash, so that it covers any vocabulary
