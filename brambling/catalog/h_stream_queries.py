@@ -6,7 +6,7 @@ from brambling.catalog.c_series_queries import LIMITED, SIMPLE, TREND, fold_sql
 from brambling.catalog.inputs import BARS, bars
 from brambling.catalog.registry import query
 from brambling.session import new_path, settings, settle
-from brambling.streaming import bars as SB, replace, trading
+from brambling.streaming import bars as SB, calendar, replace, trading
 
 
 def messages(t):
@@ -92,6 +92,21 @@ def _(t):
     return plain_time(SB.run_available(SB.tick_bars(ticks, "15m"), "bars"))
 
 
+@query("ss4_month_bars", """with t as (select event_type as symbol, timestamp '2024-01-01' + (ts - timestamp '2024-01-01') * 9 as ts, value from events)
+  select symbol, date_trunc('month', ts)::timestamp as open_time, arg_min(value, ts) as open, max(value) as high, min(value) as low, arg_max(value, ts) as price, count(*)::double as volume
+  from t group by 1, 2 having date_trunc('month', ts) + interval 1 month <= (select max(ts) from t) - interval 1 day""")
+def _(t):
+    """Month bars; the events' month is stretched over nine."""
+    begin = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    at = F.timestamp_micros(F.unix_micros(begin) + 9 * (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(begin)))
+    path = new_path(t.spark, "ticks")
+    t.events.select(F.col("event_type").alias("symbol"), at.alias("ts"), "value").write.parquet(path)
+    ticks = t.spark.readStream.schema("symbol string, ts timestamp, value double").parquet(path)
+    with settings(t.spark, trading.ROCKSDB):
+        run = SB.run_available(calendar.calendar_bars(ticks, "1M", "1 day"), "months")
+    return plain_time(run.filter("late = 0")).drop("late")
+
+
 DELAY = 12    # days: more than a third of the messages' span, whose files come in any order
 
 
