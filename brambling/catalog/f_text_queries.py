@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from brambling.catalog.inputs import TRANSACTIONS, is_test, is_test_sql, transactions
 from brambling.catalog.registry import query
 from brambling.functions import text as T
-from brambling.operators import corpus, graph, recommend, search, similar
+from brambling.operators import corpus, graph, recommend, search, similar, vector_index
 from brambling.operators.ordering import top_k
 from brambling.plans import hotel, topics
 from brambling.session import settle
@@ -195,6 +195,13 @@ def _(t):
     return out.select("vec_id", "label", (F.round("similarity", 6) + 0.0).alias("similarity"))
 
 
+@query("tx15_indexed_search")
+def _(t):
+    """The ten nearest rows of every row whose id is divisible by 20, from an inverted-file index of all rows."""
+    index = vector_index.build(t.embeddings, "vec_id", "embedding")
+    return vector_index.search(index, t.embeddings.filter(F.col("vec_id") % 20 == 0), "vec_id", "embedding")
+
+
 @query("tx16_word_similarity", f"""with {WORDS}, a as (select vector::double[] as x from vec where word = 'the'), b as (select vector::double[] as y from vec where word = 'and')
   select 'the' as a, 'and' as b, round(list_dot_product(x, y) / sqrt(list_dot_product(x, x) * list_dot_product(y, y)), 6) as similarity from a, b""")
 def _(t):

@@ -93,8 +93,8 @@ def _(t):
 
 
 @query("ss4_month_bars", """with t as (select event_type as symbol, timestamp '2024-01-01' + (ts - timestamp '2024-01-01') * 9 as ts, value from events)
-  select symbol, date_trunc('month', ts)::timestamp as open_time, arg_min(value, ts) as open, max(value) as high, min(value) as low, arg_max(value, ts) as price, count(*)::double as volume
-  from t group by 1, 2 having date_trunc('month', ts) + interval 1 month <= (select max(ts) from t) - interval 1 day""")
+  select * from (select symbol, date_trunc('month', ts)::timestamp as open_time, arg_min(value, ts) as open, max(value) as high, min(value) as low, arg_max(value, ts) as price, count(*)::double as volume
+  from t group by 1, 2) where open_time + interval 1 month <= (select max(ts) from t) - interval 1 day""")
 def _(t):
     """Month bars; the events' month is stretched over nine."""
     begin = F.lit("2024-01-01 00:00:00").cast("timestamp")
