@@ -211,9 +211,29 @@ def _(t):
     return M.ols(house(t), "price", NUM)
 
 
-@query("ml2_linear_coefficients")
+#: Spreads of the three numbers and their covariances with the price, and the determinant of the spreads.
+NORMAL = f"""with {HOUSE}, s as (select count(*) as n, var_pop(quantity) as a, covar_pop(quantity, size) as b, covar_pop(quantity, retail) as c, var_pop(size) as d, covar_pop(size, retail) as e, var_pop(retail) as f,
+    covar_pop(price, quantity) as u, covar_pop(price, size) as v, covar_pop(price, retail) as w, var_pop(price) as y, avg(price) as my, avg(quantity) as m1, avg(size) as m2, avg(retail) as m3 from house),
+  i as (select *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) as det from s),
+  k as (select *, (u * (d * f - e * e) + v * (c * e - b * f) + w * (b * e - c * d)) / det as k1, (u * (c * e - b * f) + v * (a * f - c * c) + w * (b * c - a * e)) / det as k2,
+    (u * (b * e - c * d) + v * (b * c - a * e) + w * (a * d - b * b)) / det as k3 from i)"""
+
+
+@query("ml1_ols_estimates", f"""{NORMAL}, g as (select *, y - (k1 * u + k2 * v + k3 * w) as rest from k), h as (select *, rest * n / (n - 4) / n / det as q from g)
+  select term, round(estimate, 4) + 0.0::double as estimate, round(std_error, 4) as std_error, round(1 - rest / y, 8) as r2 from (
+    select 'quantity' as term, k1 as estimate, sqrt(q * (d * f - e * e)) as std_error, rest, y from h union all select 'size', k2, sqrt(q * (a * f - c * c)), rest, y from h
+    union all select 'retail', k3, sqrt(q * (a * d - b * b)), rest, y from h
+    union all select 'const', my - k1 * m1 - k2 * m2 - k3 * m3, sqrt(rest / (n - 4) + q * (m1 * m1 * (d * f - e * e) + m2 * m2 * (a * f - c * c) + m3 * m3 * (a * d - b * b)
+      + 2 * m1 * m2 * (c * e - b * f) + 2 * m1 * m3 * (b * e - c * d) + 2 * m2 * m3 * (b * c - a * e))), rest, y from h)""")
+def _(t):
+    """What of the least-squares table has a closed form."""
+    return r(r(M.ols(house(t), "price", NUM), "estimate", "std_error", digits=4), "r2", digits=8).select("term", "estimate", "std_error", "r2")
+
+
+@query("ml2_linear_coefficients", f"""{NORMAL} select 'quantity' as feature, round(k1, 4) + 0.0::double as coefficient from k union all select 'size', round(k2, 4) + 0.0::double from k
+  union all select 'retail', round(k3, 4) + 0.0::double from k""")
 def _(t):
-    return M.linear_coefficients(house(t), "price", NUM)
+    return r(M.linear_coefficients(house(t), "price", NUM), "coefficient", digits=4)
 
 
 @query("ml3_logit_inference")
@@ -245,10 +265,10 @@ def _(t):
 
 @query("ml7_gbt_regressor")
 def _(t):
-    model, scored = regress(t, M.gbt_regressor("price"))
-    path = new_path(t.spark, "gbt")
-    model.write().overwrite().save(path)
-    return E.regression_metrics(scored, "price", "prediction")
+    """The model is saved, read back, and scored on the test rows."""
+    train, test = halves(house(t), "sale_id")
+    model = M.saved(M.gbt_regressor("price").fit(M.assemble(train, NUM, ["price"])), new_path(t.spark, "gbt"))
+    return E.regression_metrics(model.transform(M.assemble(test, NUM, ["price"])), "price", "prediction")
 
 
 def classify(t, estimator):
@@ -297,10 +317,12 @@ def _(t):
 
 @query("pf25_row_scoring")
 def _(t):
-    """New rows go through the saved fit and the model exactly as test rows do."""
+    """New rows go through the preparation and the model as they are read back from where they were saved."""
     rows = loans(t)
     fitted = prepare.fit(recipes.credit(), rows.filter(~is_test("loan_id")))
-    model = M.fit_logistic(fitted.apply(rows.filter(~is_test("loan_id"))), "target", fitted.features)
+    model = M.saved(M.fit_logistic(fitted.apply(rows.filter(~is_test("loan_id"))), "target", fitted.features), new_path(t.spark, "logit"))
+    fitted.save(t.spark, path := new_path(t.spark, "credit"))
+    fitted = prepare.load(t.spark, recipes.credit(), path)
     scored = M.predict_proba(model, fitted.apply(rows), fitted.features, ["loan_id"])
     return scored.withColumn("approved", C.threshold_predict(F.col("probability"), 0.5))
 
@@ -321,6 +343,14 @@ def _(t):
     return M.kmeans(v, 10).transform(v).select("vec_id", "label", F.col("prediction").alias("cluster"))
 
 
+@query("ml15_saved_clusters")
+def _(t):
+    """New rows find the nearest of the centres that were saved."""
+    v = vectors(t)
+    model = M.saved(M.kmeans(v.filter(~is_test("vec_id")), 10), new_path(t.spark, "kmeans"))
+    return model.transform(v.filter(is_test("vec_id"))).select("vec_id", "label", F.col("prediction").alias("cluster"))
+
+
 @query("ml16_elbow")
 def _(t):
     return M.elbow(vectors(t), list(range(1, 11)))

@@ -129,6 +129,12 @@ def gaussian_nb(y: str):
     return NaiveBayes(labelCol=y, modelType="gaussian")
 
 
+def saved(model, path: str):
+    """The model as it is read back from where it was written."""
+    model.write().overwrite().save(path)
+    return type(model).load(path)
+
+
 def fit_score(estimator, train: DataFrame, test: DataFrame, y: str, features: list[str], keys: list[str]) -> tuple:
     """The model and the scored test rows (``prediction``)."""
     model = estimator.fit(assemble(train, features, [y]))
