@@ -1,10 +1,11 @@
 """URL filters by link-graph propagation, from DataFrame operations alone.
 
-Hosts are nodes; a page's absolute links are edges to other hosts, and a host and its parent domain are
-joined by a weak edge.  Two personalised PageRanks run over the same edges: trust flows forward from hosts
-whose pages an allow rule matches, distrust flows backward from hosts whose pages a block rule matches (a
-host that links to blocked hosts is suspect).  A host is blocked when its distrust outweighs its trust and
-exceeds a share of the mean; a rule that matches the url decides before that.
+Hosts are nodes; a page's absolute links are edges to other hosts.  Two personalised PageRanks run over the
+same edges: trust flows forward from hosts whose urls an allow rule matches, distrust flows backward from
+hosts whose urls a block rule matches (a host that links to blocked hosts is suspect).  Urls are those of the
+pages and, each once, those that they link to, so a host without a page of its own can be a seed too.  A host is
+blocked when its distrust outweighs its trust and exceeds a share of the mean; a rule that matches the url
+decides before that.  Nothing flows between hosts for sharing a domain.
 
 Edges are counted per pair of hosts first.  A host with very many neighbours is split: its edges are dealt
 to parts by their other end, and its rank is repeated once per part, so no task holds all of them.
@@ -25,7 +26,7 @@ from brambling.llm.common import col, settle
 
 #: (pattern, verdict); a pattern is a host, then a path from its first slash on.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
-DAMPING, ROUNDS, PARENT_WEIGHT = 0.85, 12, 0.25
+DAMPING, ROUNDS = 0.85, 12
 FACTOR, FLOOR = 1.0, 0.1     # block if distrust > FACTOR * trust and distrust > FLOOR / hosts
 PART = 10_000                # neighbours of a host in one part
 WRITE_EVERY = 4
@@ -56,22 +57,20 @@ def rule_verdict(rule: Column, rules=RULES) -> Column:
     return F.coalesce(*[F.when(rule == p, F.lit(v)) for p, v in known], F.lit(None).cast("string"))
 
 
-def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(a, b, w): how often pages of host a link to host b."""
-    links = F.regexp_extract_all(F.coalesce(col(html), F.lit("")), F.lit(r"""(?i)\bhref\s*=\s*["']?\s*((?:https?:)?//[^"'\s>]+)"""), F.lit(1))
-    found = pages.select(host_of(col(url)).alias("a"), F.explode(links).alias("to"))
-    to = F.when(F.col("to").startswith("//"), F.concat(F.lit("http:"), F.col("to"))).otherwise(F.col("to"))
-    return (found.select("a", host_of(to).alias("b")).filter((F.col("a") != "") & (F.col("b") != "") & (F.col("a") != F.col("b")))
-            .groupBy("a", "b").agg(F.count(F.lit(1)).cast("double").alias("w")))
+LINK = r"""(?i)\bhref\s*=\s*["']?\s*((?:https?:)?//[^"'\s>]+)"""
+
 
+def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """(a, to): the absolute links of every page, and the host they are on."""
+    found = F.regexp_extract_all(F.coalesce(col(html), F.lit("")), F.lit(LINK), F.lit(1))
+    linked = pages.select(host_of(col(url)).alias("a"), F.explode(found).alias("to"))
+    return linked.withColumn("to", F.when(F.col("to").startswith("//"), F.concat(F.lit("http:"), F.col("to"))).otherwise(F.col("to")))
 
-def parent_edges(hosts: DataFrame, weight: float = PARENT_WEIGHT) -> DataFrame:
-    """(a, b, w) both ways between every host and each domain above it that has at least two labels."""
-    labels = F.split("host", r"\.")
-    chain = F.transform(F.sequence(F.lit(0), F.size(labels) - 2), lambda k: F.array_join(F.slice(labels, k + 1, F.size(labels)), "."))
-    steps = hosts.filter(F.size(labels) > 2).select(F.explode(F.arrays_zip(F.slice(chain, F.lit(1), F.size(chain) - 1).alias("a"), F.slice(chain, F.lit(2), F.size(chain) - 1).alias("b"))).alias("s"))
-    up = steps.select("s.a", "s.b").distinct()
-    return up.union(up.select(F.col("b").alias("a"), F.col("a").alias("b"))).withColumn("w", F.lit(float(weight)))
+
+def link_edges(linked: DataFrame) -> DataFrame:
+    """(a, b, w): how often pages of host a link to host b."""
+    return (linked.select("a", host_of(F.col("to")).alias("b")).filter((F.col("a") != "") & (F.col("b") != "") & (F.col("a") != F.col("b")))
+            .groupBy("a", "b").agg(F.count(F.lit(1)).cast("double").alias("w")))
 
 
 def _parted(edges: DataFrame, source: str, target: str) -> tuple[DataFrame, DataFrame]:
@@ -118,10 +117,13 @@ def judge_hosts(seeds: DataFrame, edges: DataFrame, factor: float = FACTOR, floo
 def judge(pages: DataFrame, rules=RULES, id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust) for every row of ``pages``."""
     seen = pages.select(col(id).alias("page_id"), host_of(col(url)).alias("host"), path_of(col(url)).alias("path"))
-    ruled = seen.withColumn("rule", matching_rule(F.col("host"), F.col("path"), rules)).withColumn("by_rule", rule_verdict(F.col("rule"), rules))
+    by_rule = lambda df: df.withColumn("rule", matching_rule(F.col("host"), F.col("path"), rules)).withColumn("by_rule", rule_verdict(F.col("rule"), rules))
+    ruled, linked = by_rule(seen), settle(links(pages, url, html))
+    targets = by_rule(linked.select("to").distinct().select(host_of(F.col("to")).alias("host"), path_of(F.col("to")).alias("path")))
     hit = lambda v: F.sum((F.coalesce(F.col("by_rule"), F.lit("")) == v).cast("double"))
-    seeds = settle(ruled.filter(F.col("host") != "").groupBy("host").agg(hit("allow").alias("good"), hit("block").alias("bad")))
-    edges = settle(link_edges(pages, url, html).union(parent_edges(seeds.select("host"))).groupBy("a", "b").agg(F.sum("w").alias("w")))
+    urls = ruled.select("host", "by_rule").union(targets.select("host", "by_rule"))
+    seeds = settle(urls.filter(F.col("host") != "").groupBy("host").agg(hit("allow").alias("good"), hit("block").alias("bad")))
+    edges = settle(link_edges(linked))
     hosts = judge_hosts(seeds, edges)
     met = ruled.join(hosts, "host", "left")
     verdict = F.coalesce("by_rule", F.when(F.col("blocked"), F.lit("block")).otherwise(F.lit("allow")))

@@ -66,6 +66,32 @@ NEGATIVES_SQL = """with v as materialized (select vec_id, case when vec_id % 7 =
   select anchor_id, positive_id, k::int as rank, negative_id, positive_score, negative_score from n where k <= 5"""
 
 
+def _host_sql() -> str:
+    """Both ranks, unrolled over their rounds."""
+    from_url = lambda u: (f"translate(coalesce(regexp_extract({u}, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, "
+                          f"coalesce(regexp_extract({u}, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path")
+    order = sorted(hostrank.RULES, key=lambda r: (-len(r[0]), r[0]))
+    fits = lambda at, rest: f"(host = '{at}' or ends_with(host, '.{at}')) and starts_with(path, '/{rest}')"
+    case = "case " + " ".join(f"when {fits(p.partition('/')[0], p.partition('/')[2])} then '{p}'" for p, _ in order) + " end"
+    said = "case rule " + " ".join(f"when '{p}' then '{v}'" for p, v in hostrank.RULES) + " end"
+    link = hostrank.LINK.replace("'", "''")
+    d = hostrank.DAMPING
+    parts = [f"""p as materialized (select *, {case} as rule from (select page_id, html, {from_url('url')} from pages))""",
+             f"""k as materialized (select host as a, unnest(regexp_extract_all(coalesce(html, ''), '{link}', 1)) as t from p)""",
+             f"""u as materialized (select *, {case} as rule from (select t, {from_url('t')} from (select distinct case when starts_with(t, '//') then 'http:' || t else t end as t from k)))""",
+             """e as materialized (select a, host as b, count(*)::double as w from k join u on u.t = case when starts_with(k.t, '//') then 'http:' || k.t else k.t end where a <> '' and host <> '' and a <> host group by 1, 2)""",
+             f"""s as (select host, count(*) filter (where v = 'allow')::double as good, count(*) filter (where v = 'block')::double as bad from (select host, {said} as v from p union all select host, {said} from u) where host <> '' group by 1)""",
+             """n as materialized (select host, coalesce(good / nullif((select sum(good) from s), 0), 0) as good, coalesce(bad / nullif((select sum(bad) from s), 0), 0) as bad from (select host from s union select a from e union select b from e) left join s using (host))"""]
+    for name, seed, at, to in (("t", "good", "a", "b"), ("d", "bad", "b", "a")):
+        parts += [f"{name}e as materialized (select {at} as x, {to} as y, w / sum(w) over (partition by {at}) as share from e)", f"{name}0 as (select host, {seed} as r from n)"]
+        parts += [f"{name}{i} as materialized (select n.host, {1 - d} * {seed} + {d} * coalesce(g, 0) as r from n left join (select y, sum(r * share) as g from {name}{i - 1} join {name}e on x = host group by 1) on y = n.host)"
+                  for i in range(1, hostrank.ROUNDS + 1)]
+        parts.append(f"{name} as materialized (select host, r / coalesce(nullif((select sum(r) from {name}{hostrank.ROUNDS}), 0), 1) as r from {name}{hostrank.ROUNDS})")
+    return "with " + ",\n  ".join(parts) + f"""
+  select page_id, p.host, path, rule, coalesce({said}, case when d.r > {hostrank.FACTOR} * t.r and d.r > {hostrank.FLOOR} / greatest((select count(*) from n), 1) then 'block' else 'allow' end) as verdict,
+    round(t.r, 9) + 0.0::double as trust, round(d.r, 9) + 0.0::double as distrust from p left join t on t.host = p.host left join d on d.host = p.host"""
+
+
 @query("op1_ecoc_language")
 def op1(spark, root: str) -> DataFrame:
     docs = table(spark, root, "documents")
@@ -74,9 +100,10 @@ def op1(spark, root: str) -> DataFrame:
     return said.select("doc_id", (langid.fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score", "runner_up", "ambiguous")
 
 
-@query("op2_host_rank")
+@query("op2_host_rank", _host_sql())
 def op2(spark, root: str) -> DataFrame:
-    return hostrank.judge(table(spark, root, "pages"))
+    judged = hostrank.judge(table(spark, root, "pages"))
+    return judged.withColumns({c: F.round(c, 9) + 0.0 for c in ("trust", "distrust")})
 
 
 @query("op3_decision_list")

@@ -108,7 +108,7 @@ def test_hosts_against_plain_ranks(spark):
     given, df = pages(spark)
     got = rows(hostrank.judge(df))
     assert len(got) == len(given)
-    edges, good, bad, hosts = defaultdict(float), defaultdict(float), defaultdict(float), set()
+    edges, good, bad, hosts, linked = defaultdict(float), defaultdict(float), defaultdict(float), set(), set()
     for _, u, html in given:
         h, p = split_url(u)
         if h:
@@ -117,19 +117,18 @@ def test_hosts_against_plain_ranks(spark):
             good[h] += v == "allow"
             bad[h] += v == "block"
         for to in re.findall(r'(?i)href="((?:https?:)?//[^"]+)"', html or ""):
-            b = split_url(to if "://" in to else "http:" + to)[0]
+            to = to if "://" in to else "http:" + to
+            linked.add(to)
+            b = split_url(to)[0]
             if h and b and h != b:
                 edges[h, b] += 1
+    for to in linked:
+        h, p = split_url(to)
+        if h:
+            hosts.add(h)
+            good[h] += rule_of(h, p)[1] == "allow"
+            bad[h] += rule_of(h, p)[1] == "block"
     ends = hosts | {x for e in edges for x in e}
-    for h in hosts:
-        labels = h.split(".")
-        for k in range(len(labels) - 2):
-            a, b = ".".join(labels[k:]), ".".join(labels[k + 1:])
-            for e in ((a, b), (b, a)):
-                if e not in seen_parents(edges):
-                    edges[e] += hostrank.PARENT_WEIGHT
-                    seen_parents(edges).add(e)
-            ends |= {a, b}
     order = sorted(ends)
     trust, distrust = plain_rank(order, edges, good), plain_rank(order, edges, bad, False)
     at = {h: i for i, h in enumerate(order)}
@@ -143,11 +142,12 @@ def test_hosts_against_plain_ranks(spark):
         assert r["verdict"] == (verdict or ("block" if blocked else "allow"))
 
 
-_SEEN = {}
-
-
-def seen_parents(edges):
-    return _SEEN.setdefault(id(edges), set())
+def test_a_shared_domain_condemns_nobody_and_a_linked_host_without_pages_can(spark):
+    """One subdomain's blocked path says nothing about its neighbours; linking to a blocked host that has no page does."""
+    given = [(1, "http://a.example.com/de/1", None), (2, "http://b.example.com/x", None), (3, "http://example.com/x", None), (4, "http://c.example.org/x", '<a href="//bad.net/1">x</a>'),
+             (5, "http://d.example.org/x", '<a href="http://good.org/fr/1">y</a>'), (6, "http://a.example.com/y", None)]
+    df = spark.createDataFrame(given, "page_id long, url string, html string")
+    assert {r["page_id"]: r["verdict"] for r in rows(hostrank.judge(df))} == {1: "block", 2: "allow", 3: "allow", 4: "block", 5: "allow", 6: "block"}
 
 
 def test_hosts_of_no_pages_and_of_the_table(spark):
