@@ -14,6 +14,8 @@ classes link when 100 * intersection >= threshold * union.
    its buckets a round; what links is contracted to components, and buckets whose members are in one component
    are done.  After the hub rounds, the members outside the largest component of a bucket are compared with those
    of other components in it, in cells of bounded size whose pairs never become rows.
+   A pair is taken up at its first common n-gram only as far as that can be told: what either set has left from there
+   on bounds the overlap, and where that is too little the pair either cannot link or has met before.
 4. *Bitmaps.*  A set has a bitmap of ``BITS`` parities of its n-grams' hashes.  Two sets differ in at least as many
    n-grams as their bitmaps differ in bits, so a candidate whose bitmaps differ too much cannot link; only what
    this bound leaves goes on.  Nothing that links is lost.
@@ -155,9 +157,14 @@ def verify(pairs: DataFrame, segments: DataFrame, threshold: int = THRESHOLD, fr
     return shared.filter(100 * F.col("shared") >= threshold * union).select("a", "b")
 
 
+def _enough(left: Column, n: Column, threshold: int) -> Column:
+    """Whether ``left`` n-grams from the first common one on can make two sets of ``n`` together link."""
+    return (100 + threshold) * left >= threshold * n
+
+
 def _as_pair(threshold: int) -> tuple[Column, list[Column]]:
     """Whether two members' sizes allow a link, and the pair in order of class."""
-    fits = 100 * F.least("n", "hn") >= threshold * F.greatest("n", "hn")
+    fits = (100 * F.least("n", "hn") >= threshold * F.greatest("n", "hn")) & _enough(F.least("ahead", "hahead"), F.col("n") + F.col("hn"), threshold)
     first = F.col("cls") < F.col("hcls")
     return fits, [F.least("cls", "hcls").alias("a"), F.greatest("cls", "hcls").alias("b"),
                   F.when(first, F.col("n")).otherwise(F.col("hn")).alias("na"), F.when(first, F.col("hn")).otherwise(F.col("n")).alias("nb")]
@@ -165,11 +172,11 @@ def _as_pair(threshold: int) -> tuple[Column, list[Column]]:
 
 def _hub_pairs(members: DataFrame, turn: int, threshold: int) -> DataFrame:
     """Each set against one hub: the first, in this turn's order, of its buckets' hubs in another component."""
-    hub = F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("h"), F.col("cls").alias("hcls"), F.col("n").alias("hn"), F.col("comp").alias("hcomp")))
+    hub = F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("h"), F.col("cls").alias("hcls"), F.col("n").alias("hn"), F.col("ahead").alias("hahead"), F.col("comp").alias("hcomp")))
     hubs = (members.groupBy("gram").agg(hub.alias("hub"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
             .filter(F.col("lo") != F.col("hi")).select("gram", "hub"))
     fits, pair = _as_pair(threshold)
-    met = members.join(hubs, "gram").select("cls", "n", "comp", "hub", "hub.*").filter((F.col("comp") != F.col("hcomp")) & fits)
+    met = members.join(hubs, "gram").select("cls", "n", "ahead", "comp", "hub", "hub.*").filter((F.col("comp") != F.col("hcomp")) & fits)
     return met.groupBy("cls", "n").agg(F.min("hub").alias("hub")).select("cls", "n", "hub.*").select(*pair).distinct()
 
 
@@ -178,7 +185,7 @@ def _rest_pairs(members: DataFrame, bits: DataFrame, threshold: int, cell: int)
     sizes = members.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("k"))
     most = (sizes.groupBy("gram").agg(F.max(F.struct("k", F.col("comp").alias("main"))).alias("m"), F.count(F.lit(1)).alias("comps"))
             .filter(F.col("comps") > 1).select("gram", "m.main"))
-    split = settle(members.join(most, "gram").select(F.lit(0).alias("dim"), F.lit(0).alias("tab"), F.col("gram").alias("code"), (F.col("comp") != F.col("main")).alias("home"), "cls", "n", "comp"))
+    split = settle(members.join(most, "gram").select(F.lit(0).alias("dim"), F.lit(0).alias("tab"), F.col("gram").alias("code"), (F.col("comp") != F.col("main")).alias("home"), "cls", "n", "ahead", "comp"))
     heavy = settle(split.groupBy("dim", "tab", "code").agg(F.count_if("home").alias("h"), F.count(F.lit(1)).alias("r")).filter(F.col("r") > cell)
                    .select("dim", "tab", "code", parts("h", cell).alias("nl"), parts("r", cell).alias("nr")))
     keys = ["code", "lp", "rp"]
@@ -186,12 +193,13 @@ def _rest_pairs(members: DataFrame, bits: DataFrame, threshold: int, cell: int)
     def compare(batches):
         for b in whole_runs(batches, keys):
             get = lambda c: b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False)
-            cls, n, comp, home = (get(c) for c in ("cls", "n", "comp", "home"))
+            cls, n, ahead, comp, home = (get(c) for c in ("cls", "n", "ahead", "comp", "home"))
             x = b.column(b.schema.get_field_index("bits")).flatten().to_numpy().view(np.uint64).reshape(b.num_rows, -1)
             start = np.ones(b.num_rows, bool)
             start[1:] = np.any([get(k)[1:] != get(k)[:-1] for k in keys], 0)
             for i, j in pairs_of(start, get("left"), get("right"), 50_000):
                 fits = (comp[i] != comp[j]) & (~home[j] | (cls[i] < cls[j])) & (100 * np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]))
+                fits &= (100 + threshold) * np.minimum(ahead[i], ahead[j]).astype(np.int64) >= threshold * (n[i] + n[j])
                 i, j = i[fits], j[fits]
                 differ = np.bitwise_count(x[i] ^ x[j]).sum(1, dtype=np.int64)
                 near = (100 + threshold) * differ <= (100 - threshold) * (n[i] + n[j])
@@ -200,7 +208,7 @@ def _rest_pairs(members: DataFrame, bits: DataFrame, threshold: int, cell: int)
                 yield pa.RecordBatch.from_arrays([pa.array(v) for v in (cls[i], cls[j], n[i], n[j])], names=["a", "b", "na", "nb"])
 
     dealt = deal(split.join(bits, "cls"), None if heavy.isEmpty() else heavy).repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.select(*keys, "left", "right", "home", "cls", "n", "comp", "bits").mapInArrow(compare, "a long, b long, na long, nb long").distinct()
+    return dealt.select(*keys, "left", "right", "home", "cls", "n", "ahead", "comp", "bits").mapInArrow(compare, "a long, b long, na long, nb long").distinct()
 
 
 def link_classes(sets: DataFrame, threshold: int = THRESHOLD, fragments: int = FRAGMENTS, cell: int = CELL) -> DataFrame:
@@ -212,7 +220,8 @@ def link_classes(sets: DataFrame, threshold: int = THRESHOLD, fragments: int = F
     segments = settle(_fragments(ordered, fragments))
     first = F.col("n") - _least_shared(F.col("n"), threshold) + 1 - (F.col("n") - F.size("toks"))
     prefix = (ordered.withColumn("first", first.cast("int")).filter(F.col("first") > 0)
-              .select("cls", "n", F.explode(F.slice("toks", F.lit(1), F.col("first"))["gram"]).alias("gram")))
+              .select("cls", "n", F.size("toks").alias("shared"), F.posexplode(F.slice("toks", F.lit(1), F.col("first"))["gram"]).alias("at", "gram"))
+              .select("cls", "n", "gram", (F.col("shared") - F.col("at")).alias("ahead")))
     prefix = settle(prefix)
     discard(ordered)
     edges, found = None, None
