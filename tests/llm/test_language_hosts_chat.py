@@ -54,6 +54,52 @@ def test_counts_do_not_depend_on_neighbours():
         assert (a == b).all()
 
 
+def model_of(k):
+    model = langid.Model([f"l{i}" for i in range(k)], np.ones((k, langid.BUCKETS)))
+    bits = model.code.shape[1]
+    rng = np.random.default_rng(k)
+    model.middle, model.scale, model.trust = rng.normal(size=bits) / 9, 2 + rng.random(bits), 0.2 + rng.random(bits)
+    return model
+
+
+def plain_decode(model, margins):
+    """Loss by loss: the language with the least one, the next, and their shares."""
+    loss = []
+    for word in model.code.tolist():
+        loss.append(sum(t * np.log1p(np.exp(-max(-12, min(12, (m - c) * s)) * b)) for m, b, c, s, t in zip(margins, word, model.middle, model.scale, model.trust)))
+    order = sorted(range(len(loss)), key=lambda i: (loss[i], i))
+    share = [np.exp(min(loss) - x) for x in loss]
+    return order[0], share[order[0]] / sum(share), order[1], share[order[1]] / sum(share) >= langid.AMBIGUOUS
+
+
+def test_decoding_against_all_codewords():
+    rng = np.random.default_rng(12)
+    for k in (2, 4, 9):
+        model = model_of(k)
+        margins = rng.normal(size=(60, model.code.shape[1]))
+        best, score, second, close = model.decode(margins)
+        for i in range(60):
+            b, s, n, c = plain_decode(model, margins[i])
+            assert (best[i], second[i], bool(close[i])) == (b, n, c) and abs(score[i] - s) < 1e-9
+
+
+def test_wrong_bits_are_corrected_and_ties_are_ambiguous():
+    model = langid.Model([f"l{i}" for i in range(9)], np.ones((9, langid.BUCKETS)))
+    bits = model.code.shape[1]
+    model.middle, model.scale, model.trust = np.zeros(bits), np.full(bits, 3.0), np.ones(bits)
+    apart = min(int((model.code[a] != model.code[b]).sum()) for a in range(9) for b in range(a))
+    for lang in range(9):
+        sent = model.code[lang].astype(float)
+        sent[:(apart - 1) // 2] *= -1                       # as many as the code can correct
+        assert model.decode(sent[None])[0][0] == lang
+    best, score, second, close = model.decode(np.zeros((1, bits)))       # every language is as near as any other
+    assert (best[0], second[0]) == (0, 1) and abs(score[0] - 1 / 9) < 1e-12 and close[0] == (1 / 9 >= langid.AMBIGUOUS)
+    between = (model.code[2].astype(float) + model.code[5]) / 2          # as near to one as to the other
+    best, score, second, close = model.decode(between[None])
+    assert (best[0], second[0]) == (2, 5) and close[0] and score[0] <= 0.5
+    assert not model.decode(model.code[4][None].astype(float))[3][0]
+
+
 # ---- hosts ----
 
 def plain_rank(hosts, edges, seed, forward=True):
