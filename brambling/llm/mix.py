@@ -131,11 +131,11 @@ def mix(docs: DataFrame, members: Column, weights: tuple[int, ...] = WEIGHTS, re
     rounds = spark.createDataFrame(plan, "pattern string, whole long, rest long, source_size long, target double")
     # a broken round ends with the last document of which more than half is needed
     upto = running_sums(keyed, ["k1", "k2"], {"upto": F.col("size")}, ["pattern"])
-    ends = (upto.join(F.broadcast(rounds), "pattern").filter(2 * F.col("upto") - F.col("size") < 2 * F.col("rest"))
+    ends = (upto.join(rounds, "pattern").filter(2 * F.col("upto") - F.col("size") < 2 * F.col("rest"))
             .groupBy("pattern").agg(F.max(F.struct("k1", "k2")).alias("last")))
-    decided = rounds.join(ends, "pattern", "left")
+    decided = settle(rounds.join(ends, "pattern", "left"))      # its size decides how it is joined
     more = F.coalesce(F.struct("k1", "k2") <= F.col("last"), F.lit(False)).cast("long")
-    met = given.join(F.broadcast(decided), "pattern", "left")
+    met = given.join(decided, "pattern", "left")
     chosen = met.withColumn("copies", F.when(F.col("size") > 0, F.col("whole") + more).otherwise(0))
     return chosen.select("row", "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
