@@ -76,7 +76,18 @@ def improved(model: Mixture, sums: np.ndarray, n: int, ridge: float) -> Mixture:
     means = sums[1 + k:1 + k + k * d].reshape(k, d) / share[:, None]
     second = sums[1 + k + k * d:].reshape(k, d, d) / share[:, None, None]
     spread = second - means[:, :, None] * means[:, None, :]
-    return Mixture(share / share.sum(), means, (spread + spread.transpose(0, 2, 1)) / 2 + ridge * np.eye(d), model.start)
+    return Mixture(share / share.sum(), means, positive((spread + spread.transpose(0, 2, 1)) / 2, ridge), model.start)
+
+
+def positive(spread: np.ndarray, ridge: float) -> np.ndarray:
+    """Covariances with ``ridge`` on the diagonal; where rounding has made a spread negative it counts as 0."""
+    covariances = spread + ridge * np.eye(spread.shape[-1])
+    try:
+        np.linalg.cholesky(covariances)
+    except np.linalg.LinAlgError:
+        values, axes = np.linalg.eigh(spread)
+        covariances = np.matmul(axes * (np.maximum(values, 0) + ridge)[:, None, :], axes.transpose(0, 2, 1))
+    return covariances
 
 
 def first_guess(sample: np.ndarray, k: int, start: int, ridge: float = RIDGE) -> Mixture:

@@ -86,3 +86,10 @@ def test_unusable_rows_and_few_distinct_ones(spark):
     assert n == 26 and all(math.isfinite(m.likelihood) for m in best.values())
     assert X.fit_mixtures(df.limit(0), [1, 2])[0] == {} and X.curves(df.limit(0), [1]).count() == 0
     assert {r["id"] for r in X.assign(df, best[1]).collect() if r["component"] is None} == {0, 1, 2, 3}
+
+
+def test_a_spread_made_negative_by_rounding_is_mended():
+    spread = np.array([np.eye(2), [[1.0, 2.0], [2.0, 1.0]]])
+    mended = X.positive(spread, 1e-6)
+    assert np.allclose(mended[0], np.eye(2), atol=1e-5) and np.linalg.eigvalsh(mended[1])[0] > 0
+    assert np.array_equal(X.positive(spread[:1], 1e-6), spread[:1] + 1e-6 * np.eye(2))
