@@ -18,8 +18,6 @@ columns are ignored.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from brambling.llm.common import col, settle
