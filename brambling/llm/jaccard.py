@@ -119,13 +119,16 @@ def _survivors(docs: DataFrame, classes: DataFrame, n: int, text: str, threshold
 
 
 def _ordered(sets: DataFrame, threshold: int) -> DataFrame:
-    """(cls, n, toks): the n-grams of each set that another set holds too, in global order, rare first."""
+    """(cls, n, toks), written: the n-grams of each set that another set holds too, in global order, rare first."""
     posts = sets.select("cls", F.explode("grams").alias("gram"))
-    df = posts.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") > 1)
+    # written, so that the shuffle behind the counts is gone before the next one
+    df = settle(posts.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") > 1))
     place = F.shiftleft(F.least(F.col("df"), F.lit(_DF_CAP)), _FP_BITS) + F.shiftrightunsigned("gram", 64 - _FP_BITS)
     met = posts.join(df, "gram").select("cls", F.struct(place.alias("place"), "gram").alias("tok"))
-    return (met.groupBy("cls").agg(F.sort_array(F.collect_list("tok")).alias("toks")).join(sets.select("cls", "n"), "cls")
-            .filter(F.size("toks") >= _least_shared(F.col("n"), threshold)))
+    ordered = settle(met.groupBy("cls").agg(F.sort_array(F.collect_list("tok")).alias("toks")).join(sets.select("cls", "n"), "cls")
+                     .filter(F.size("toks") >= _least_shared(F.col("n"), threshold)))
+    discard(df)
+    return ordered
 
 
 def _fragments(ordered: DataFrame, fragments: int) -> DataFrame:
@@ -214,7 +217,7 @@ def _rest_pairs(members: DataFrame, bits: DataFrame, threshold: int, cell: int)
 def link_classes(sets: DataFrame, threshold: int = THRESHOLD, fragments: int = FRAGMENTS, cell: int = CELL) -> DataFrame:
     """(node, component) of the classes that link to another; ``sets`` are (cls, n, grams, bits), each class once,
     in a settled table that is removed when the ordered sets are written."""
-    ordered = settle(_ordered(sets, threshold))
+    ordered = _ordered(sets, threshold)
     bits = settle(sets.select("cls", "bits").join(ordered.select("cls"), "cls", "left_semi"))
     discard(sets)
     segments = settle(_fragments(ordered, fragments))
