@@ -3,6 +3,10 @@
 Items are sets of (user, weight).  Two measures are served: the cosine of mean quantities and the share of common users
 (Jaccard).
 
+An item whose users hold few items together (``LIGHT``) meets all of them: every user's list is packed once and sent
+whole to each such item, whose partners are added up in one task; only its best leave the task, so no pair becomes a
+row.  Items that meet more are searched by bounded prefixes:
+
 1. *Floor.*  A few promising partners of each item (those that its heaviest users hold most of) are compared in full;
    the k-th best similarity is a floor below which no partner counts.  This only guides the search.
 2. *Prefix.*  An item's users are put in order, rare ones first.  Every user takes a part of the item's mass (squared
@@ -18,7 +22,12 @@ Items without a partner have no rows; ties go to the smaller item; null items, u
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import math
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from brambling.operators.ordering import running_sums, top_k_per_group
 from brambling.operators.recommend import item_user
@@ -27,6 +36,8 @@ from brambling.session import settle
 SEED_USERS, SEED_ITEMS = 6, 30      # rows met for the floor: users of an item, and items of each of them
 SLACK = 1e-8                        # a similarity is decided by its exact value, not by rounding in a bound
 DIGITS = 9
+LIGHT, LIST = 100_000, 20_000       # rows that an item may meet to be summed in one task, and the longest packed list
+PAIRS, SENT = 4_000_000, 16_000_000 # rows met by a task, and bytes sent in one batch
 
 
 def _cosine_entries(transactions: DataFrame) -> DataFrame:
@@ -63,12 +74,12 @@ class _Measure:
         return dot + self.most(left) if self.cosine else dot / n0 + left
 
 
-def _floors(entries: DataFrame, measure: _Measure, k: int) -> DataFrame:
+def _floors(entries: DataFrame, own: DataFrame, measure: _Measure, k: int) -> DataFrame:
     """(seed, floor): the k-th best similarity among a few promising partners, 0 if they are fewer."""
-    users = top_k_per_group(entries.select("item", "user", "w"), ["item"], [F.desc("w"), "user"], SEED_USERS, "r").select(F.col("item").alias("seed"), "user")
+    users = top_k_per_group(own.select("item", "user", "w"), ["item"], [F.desc("w"), "user"], SEED_USERS, "r").select(F.col("item").alias("seed"), "user")
     items = top_k_per_group(entries.select("user", "item", "w"), ["user"], [F.desc("w"), "item"], SEED_ITEMS, "r").select("user", "item")
     pairs = users.join(items, "user").filter(F.col("seed") != F.col("item")).select("seed", "item").distinct()
-    scored = _summed(settle(pairs), entries, entries, measure)
+    scored = _summed(settle(pairs), own, entries, measure)
     kth = top_k_per_group(scored.select("seed", "item", "similarity"), ["seed"], [F.desc("similarity"), "item"], k, "r")
     return kth.groupBy("seed").agg(F.when(F.count(F.lit(1)) >= k, F.min("similarity")).otherwise(0.0).alias("floor"))
 
@@ -81,13 +92,133 @@ def _summed(pairs: DataFrame, own: DataFrame, other: DataFrame, measure: _Measur
     return sums.withColumn("similarity", measure.score(F.col("dot"), F.col("n"), F.col("n0")))
 
 
+def _packed_list(items: np.ndarray, values: np.ndarray) -> bytes:
+    """Ascending items as steps of the least width that holds them, then their values."""
+    steps = np.diff(items, prepend=0)
+    width = 4 if steps.max() < 1 << 32 and steps.min() >= 0 else 8
+    return bytes([width]) + steps.astype("<u4" if width == 4 else "<i8").tobytes() + values.tobytes()
+
+
+def _unpacked(blobs: list[bytes], sizes: np.ndarray, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The items and values of many packed lists in a row."""
+    items, values = [], []
+    for blob, n in zip(blobs, sizes.tolist()):
+        width = blob[0]
+        items.append(np.frombuffer(blob, "<u4" if width == 4 else "<i8", n, 1).cumsum(dtype=np.int64))
+        values.append(np.frombuffer(blob, kind, n, 1 + width * n))
+    return np.concatenate(items), np.concatenate(values)
+
+
+def _nth(group: np.ndarray) -> np.ndarray:
+    """The place of each row in its run of equal values, from 0."""
+    at = np.arange(len(group))
+    return at - np.maximum.accumulate(np.where(np.diff(group, prepend=group[:1] - 1) != 0, at, 0))
+
+
+def _light_best(marked: DataFrame, pairs: int, k: int, cosine: bool) -> DataFrame:
+    """(seed, item, users, similarity): the best of every light item and what ties with them within ``SLACK``."""
+    kind = "<f8" if cosine else "<i4"
+    cells = F.struct("item", (F.col("w") if cosine else F.col("n").cast("int")).alias("v"), "n", "w", "light")
+    lists = (marked.filter(F.col("crowd") <= LIST).groupBy("user").agg(F.array_sort(F.collect_list(cells)).alias("c"))
+             .filter(F.exists("c", lambda x: x["light"])).select(*[F.col(f"c.{f}").alias(f) for f in ("item", "v", "n", "w", "light")]))
+
+    def sent(batches):
+        rows, held = [], 0
+
+        def batch():
+            seeds, w0, n0, sizes, blobs = zip(*rows)
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(seeds), pa.int64()), pa.array(np.concatenate(w0)), pa.array(np.concatenate(n0), pa.int64()),
+                                               pa.array(np.concatenate(sizes), pa.int32()), pa.array([b for some in blobs for b in some], pa.binary())], names=["seed", "w0", "n0", "size", "list"])
+
+        for b in batches:
+            ends = b.column(0).offsets.to_numpy()
+            item, v, n, w, light = (b.column(i).flatten().to_numpy(zero_copy_only=False) for i in range(5))
+            for lo, hi in zip((ends[:-1] - ends[0]).tolist(), (ends[1:] - ends[0]).tolist()):
+                own = lo + np.flatnonzero(light[lo:hi])
+                blob = _packed_list(item[lo:hi], v[lo:hi].astype(kind))
+                step = max(SENT // len(blob), 1)
+                for at in range(0, len(own), step):
+                    some = own[at:at + step]
+                    rows.append((item[some], w[some], n[some], np.full(len(some), hi - lo), [blob] * len(some)))
+                    held += len(some) * len(blob)
+                    if held >= SENT:
+                        yield batch()
+                        rows, held = [], 0
+        if rows:
+            yield batch()
+
+    def best(batches):
+        seen = [b for b in batches if b.num_rows]
+        if not seen:
+            return
+        table = pa.Table.from_batches(seen).combine_chunks()
+        seed, w0, n0, sizes = (table.column(i).to_numpy() for i in range(4))
+        order = np.lexsort((w0, seed))
+        edges = np.flatnonzero(np.diff(seed[order], prepend=seed[order][0] - 1))
+        met = np.add.reduceat(sizes[order].astype(np.int64), edges)
+        parts = np.cumsum(met) // (PAIRS // 4)           # seeds of one part are added up together
+        for part in np.unique(parts):
+            mine = np.flatnonzero(parts == part)
+            rows = order[edges[mine[0]]:(edges[mine[-1] + 1] if mine[-1] + 1 < len(edges) else len(order))]
+            items, values = _unpacked(table.column(4).take(pa.array(rows)).to_pylist(), sizes[rows], kind)
+            which = np.repeat(np.arange(len(rows)), sizes[rows])
+            other = items != seed[rows][which]
+            which, items, values = which[other], items[other], values[other]
+            if not len(items):
+                continue
+            nth = np.cumsum(np.diff(seed[rows], prepend=seed[rows][0]) != 0)      # the number of the row's seed
+            low, span = items.min(), float(items.max()) - float(items.min()) + 1
+            short = span * (nth[-1] + 1) < 1 << 62
+            by = np.argsort(nth[which] * int(span) + (items - low)) if short else np.lexsort((items, nth[which]))
+            which, items, values = which[by], items[by], values[by]
+            s = nth[which]
+            starts = np.flatnonzero((np.diff(s, prepend=-1) != 0) | (np.diff(items, prepend=items[0] - 1) != 0))
+            users = np.diff(np.append(starts, len(s)))
+            if cosine:
+                score = np.add.reduceat(values * w0[rows][which], starts)
+            else:
+                score = users / (values[starts] + n0[rows][which[starts]] - users)
+            s, items = s[starts], items[starts]
+            by = np.lexsort((items, -score, s))
+            s, items, users, score = s[by], items[by], users[by], score[by]
+            # equal scores are one run, of which the first k may count; the k-th best of the seed is the floor
+            run = np.cumsum((np.diff(s, prepend=-1) != 0) | (np.diff(score, prepend=-1.0) != 0))
+            place = _nth(s)
+            floor = np.full(int(s[-1]) + 1, -np.inf)
+            floor[s[place == k - 1]] = score[place == k - 1]
+            keep = (_nth(run) < k) & (score >= floor[s] - SLACK)
+            first = np.searchsorted(nth, s[keep])
+            yield pa.RecordBatch.from_arrays([pa.array(seed[rows][first]), pa.array(items[keep]), pa.array(users[keep].astype(np.int64)), pa.array(score[keep])],
+                                             names=["seed", "item", "users", "similarity"])
+
+    cores = marked.sparkSession.sparkContext.defaultParallelism
+    dealt = lists.mapInArrow(sent, "seed long, w0 double, n0 long, size int, list binary").repartition(max(math.ceil(pairs / PAIRS), cores), "seed")
+    return dealt.mapInArrow(best, "seed long, item long, users long, similarity double")
+
+
 def similar_items(transactions: DataFrame, k: int = 5, cosine: bool = True) -> DataFrame:
     """(seed, item, rank, users, similarity): the ``k`` items most like each item, and how many users the two share."""
     measure = _Measure(cosine)
     entries = settle(_cosine_entries(transactions) if cosine else _jaccard_entries(transactions))
     crowd = entries.groupBy("user").agg(F.count(F.lit(1)).alias("crowd"))
-    ordered = running_sums(entries.join(crowd, "user"), ["crowd", "user"], {"upto": F.col("mass")}, ["item"])
-    floors = _floors(entries, measure, k).withColumnRenamed("seed", "item")
+    crowded = settle(entries.join(crowd, "user"))
+    whole = isinstance(entries.schema["item"].dataType, T.IntegralType)
+    costs = crowded.groupBy("item").agg(F.sum("crowd").alias("cost"), (F.lit(whole) & (F.sum("crowd") <= LIGHT) & (F.max("crowd") <= LIST)).alias("light"))
+    costs = settle(costs)
+    marked = settle(crowded.join(costs.select("item", "light"), "item"))
+    total = costs.agg(F.sum(F.when(F.col("light"), F.col("cost"))).alias("met"), F.count_if(~F.col("light")).alias("heavy")).first()
+    found = [_light_best(marked, total["met"], k, cosine)] if total["met"] else []
+    if total["heavy"] or not found:
+        found.append(_heavy_scores(entries, marked.filter(~F.col("light")).drop("light"), measure, k))
+    scored = reduce(DataFrame.unionByName, found).withColumn("_s", F.round("similarity", DIGITS))
+    best = top_k_per_group(scored, ["seed"], [F.desc("_s"), "item"], k)
+    return best.select("seed", "item", "rank", "users", "similarity")
+
+
+def _heavy_scores(entries: DataFrame, own: DataFrame, measure: _Measure, k: int) -> DataFrame:
+    """(seed, item, users, similarity) of the candidates that bounded prefixes leave to the items of ``own``."""
+    ordered = running_sums(own, ["crowd", "user"], {"upto": F.col("mass")}, ["item"])
+    floors = _floors(entries, own, measure, k).withColumnRenamed("seed", "item")
     placed = ordered.join(floors, "item", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0)) - SLACK)
     before = 1 - (F.col("upto") - F.col("mass"))
     placed = settle(placed.withColumn("first", measure.most(before) >= F.col("floor")))
@@ -100,6 +231,4 @@ def similar_items(transactions: DataFrame, k: int = 5, cosine: bool = True) -> D
         "seed", "item", F.col("users").alias("more"), F.col("dot").alias("rest"))
     whole = alive.join(tails, ["seed", "item"], "left").withColumns({
         "users": F.col("users") + F.coalesce("more", F.lit(0)), "dot": F.col("dot") + F.coalesce("rest", F.lit(0.0))})
-    scored = whole.withColumn("similarity", measure.score(F.col("dot"), F.col("n"), F.col("n0"))).withColumn("_s", F.round("similarity", DIGITS))
-    best = top_k_per_group(scored.select("seed", "item", "users", "similarity", "_s"), ["seed"], [F.desc("_s"), "item"], k)
-    return best.select("seed", "item", "rank", "users", "similarity")
+    return whole.withColumn("similarity", measure.score(F.col("dot"), F.col("n"), F.col("n0"))).select("seed", "item", "users", "similarity")

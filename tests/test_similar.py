@@ -56,3 +56,27 @@ def test_a_weak_floor_loses_nothing(spark, monkeypatch):
     got = sorted((r["seed"], r["item"], r["rank"], r["users"], round(r["similarity"], 6)) for r in S.similar_items(df, 3).collect())
     assert got == brute(rows, 3, True)
     assert S.similar_items(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("cosine", [True, False])
+@pytest.mark.parametrize("light", [0, 400, 100_000])
+def test_items_that_meet_few_rows_are_added_up_without_pairs(spark, monkeypatch, cosine, light):
+    """Light, heavy and mixed tables give the same; ids may be wide or negative, equal scores many, batches small."""
+    for name, value in (("LIGHT", light), ("PAIRS", 400), ("SENT", 500)):
+        monkeypatch.setattr(S, name, value)
+    wide = {3: 1 << 50, 4: -5, 7: -(1 << 40)}
+    rows = [(u, wide.get(i, i), q) for u, i, q in shop(np.random.default_rng(4), n=500, crowd=.1)] + [(1000 + u, 2000 + i, 2.0) for u in range(3) for i in range(9)]
+    df = spark.createDataFrame(rows, "user long, item long, quantity double")
+    got = sorted((r["seed"], r["item"], r["rank"], r["users"], round(r["similarity"], 6)) for r in S.similar_items(df, 3, cosine).collect())
+    assert got == brute(rows, 3, cosine)
+
+
+@pytest.mark.parametrize("cosine", [True, False])
+def test_no_candidate_is_written_for_light_items(spark, monkeypatch, cosine):
+    """Tables that are written grow with the entries, not with the pairs."""
+    written, settle = [], S.settle
+    monkeypatch.setattr(S, "settle", lambda df: written.append(settle(df)) or written[-1])
+    rows = [(u, i, 1.0 + i % 3) for u in range(4) for i in range(200)]
+    df = spark.createDataFrame(rows, "user long, item long, quantity double")
+    assert S.similar_items(df, 2, cosine).count() == 400
+    assert max(w.count() for w in written) <= len(rows)
