@@ -267,8 +267,8 @@ def _(t):
 def _(t):
     """The model is saved, read back, and scored on the test rows."""
     train, test = halves(house(t), "sale_id")
-    model = M.saved(M.gbt_regressor("price").fit(M.assemble(train, NUM, ["price"])), new_path(t.spark, "gbt"))
-    return E.regression_metrics(model.transform(M.assemble(test, NUM, ["price"])), "price", "prediction")
+    model = M.saved(M.fit_binned(M.gbt_regressor("price"), train, "price", NUM), new_path(t.spark, "gbt"))
+    return E.regression_metrics(M.score_binned(model, test, NUM, ["price"]), "price", "prediction")
 
 
 def classify(t, estimator):

@@ -9,7 +9,8 @@ import numpy as np
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression, NaiveBayes,
                                        RandomForestClassifier)
 from pyspark.ml.clustering import BisectingKMeans, KMeans
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import PCA, Bucketizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, GeneralizedLinearRegression, LinearRegression,
                                    RandomForestRegressor)
@@ -125,6 +126,80 @@ def gbt_classifier(y: str, rounds: int = 300, depth: int = 5, rate: float = 0.1)
     return GBTClassifier(labelCol=y, maxIter=rounds, maxDepth=depth, stepSize=rate, seed=42)
 
 
+BINS = 32              # the trees' own number of bins
+WHOLE = 10_000         # up to so many rows, bins are cut from all values, beyond from quantiles
+POINTS, CELLS = 5_000, 20_000
+
+
+def _cut(values: np.ndarray, counts: np.ndarray, bins: int) -> list[float]:
+    """Edges between ascending values: all midpoints if they are few, else near equal shares of the rows."""
+    if len(values) <= bins:
+        return list((values[1:] + values[:-1]) / 2)
+    stride = counts.sum() / bins
+    edges, target, upto = [], stride, counts[0]
+    for i in range(1, len(values)):
+        before, upto = upto, upto + counts[i]
+        if abs(before - target) < abs(upto - target):
+            edges.append((values[i - 1] + values[i]) / 2)
+            target += stride
+    return edges
+
+
+def bin_edges(df: DataFrame, features: list[str], bins: int = BINS) -> list[list[float]]:
+    """The edges of each feature's bins; a value on an edge belongs to the bin below it."""
+    sizes = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    numbers = [F.col(f).cast("double") for f in features]
+    if sizes <= WHOLE:
+        columns = list(zip(*df.select(*numbers).collect())) or [()] * len(features)
+    else:
+        columns = df.agg(*[F.percentile_approx(x, [i / POINTS for i in range(POINTS + 1)], 2 * POINTS) for x in numbers]).first()
+    return [_cut(*np.unique(np.array([v for v in c if not math.isnan(v)] or [0.0], float), return_counts=True), bins) or [float(max(c, default=0.0))]
+            for c in columns]
+
+
+def fit_binned(estimator, train: DataFrame, y: str, features: list[str]) -> PipelineModel:
+    """Boosted trees from counted bins: the model takes the raw feature columns, bins them and predicts.
+
+    Trees see no more of a feature than its bin, so rows with the same bins (and class) always share a leaf, and one row
+    with their number as weight (and the mean of a numeric label) gives the same splits and leaves.  The rounds then read
+    these cells, of which there are at most ``bins`` to the power of the features, instead of the rows.
+    """
+    rows = train.na.drop(subset=features).select(y, *features)
+    binned = [f"{f}__bin" for f in features]
+    edges = [[-math.inf, *[math.nextafter(e, math.inf) for e in cuts], math.inf] for cuts in bin_edges(rows, features)]
+    bucketizer = Bucketizer(inputCols=features, outputCols=binned, splitsArray=edges, handleInvalid="keep")
+    placed = bucketizer.transform(rows)
+    classes = isinstance(estimator, GBTClassifier)
+    placed = placed.select(y, *[(F.col(b) + 0.0).alias(b) for b in binned])     # numbers in order, not names of buckets
+    cells = (placed.groupBy(*([y] if classes else []), *binned)
+             .agg(F.count(F.lit(1)).cast("double").alias("weight"), *([] if classes else [F.avg(y).alias(y)])))
+    cells = settle(cells)
+    tasks = min(max(math.ceil(cells.count() / CELLS), 1), cells.sparkSession.sparkContext.defaultParallelism)
+    assembler = VectorAssembler(inputCols=binned, outputCol="features")
+    with cached(assembler.transform(cells.repartition(tasks).sortWithinPartitions(*binned)).select(y, "weight", "features")) as data:
+        model = estimator.copy({estimator.weightCol: "weight"}).fit(data)
+    return PipelineModel(stages=[bucketizer, assembler, model])
+
+
+def score_binned(model: PipelineModel, df: DataFrame, features: list[str], keep: list[str]) -> DataFrame:
+    return model.transform(df.na.drop(subset=features)).select(*keep, "prediction")
+
+
+DRAWS = 5_000_000      # draws of a forest (rows times trees) that one task may make
+
+
+def fit_forest(estimator, data: DataFrame):
+    """A forest's work is rows times trees; small rows, however, come in one piece after a join, so they are dealt out
+    by that product and not by their bytes."""
+    data = settle(data)
+    tasks = math.ceil(data.count() * estimator.getNumTrees() / DRAWS)
+    if tasks <= 1:
+        return estimator.fit(data)
+    cores = data.sparkSession.sparkContext.defaultParallelism
+    with cached(data.repartition(math.ceil(tasks / cores) * cores)) as dealt:
+        return estimator.fit(dealt)
+
+
 def gaussian_nb(y: str):
     return NaiveBayes(labelCol=y, modelType="gaussian")
 
@@ -137,7 +212,13 @@ def saved(model, path: str):
 
 def fit_score(estimator, train: DataFrame, test: DataFrame, y: str, features: list[str], keys: list[str]) -> tuple:
     """The model and the scored test rows (``prediction``)."""
-    model = estimator.fit(assemble(train, features, [y]))
+    if isinstance(estimator, (GBTClassifier, GBTRegressor)):
+        model = fit_binned(estimator, train, y, features)
+        return model, score_binned(model, test, features, [*keys, y])
+    if isinstance(estimator, (RandomForestClassifier, RandomForestRegressor)):
+        model = fit_forest(estimator, assemble(train, features, [y]))
+    else:
+        model = estimator.fit(assemble(train, features, [y]))
     return model, model.transform(assemble(test, features, [*keys, y])).select(*keys, y, "prediction")
 
 
