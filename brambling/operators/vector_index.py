@@ -25,6 +25,7 @@ from brambling.operators.ordering import top_k_per_group
 from brambling.session import settle
 
 SAMPLE, MAX_LISTS, BLOCK, RECALL, TESTED = 20_000, 4_096, 1_024, 0.95, 200
+HELD = 2_000_000        # numbers that a task holds at a time
 DIGITS = 9
 
 
@@ -75,6 +76,14 @@ def probes_needed(sample: np.ndarray, centres: np.ndarray, k: int = 10, recall:
     return int(needed[max(math.ceil(recall * len(needed)) - 1, 0)]) if len(needed) else 1
 
 
+def _slices(batches, numbers: int):
+    """Parts of the batches whose rows, of so many numbers each, hold at most ``HELD`` numbers together."""
+    step = max(HELD // numbers, 1)
+    for b in batches:
+        for at in range(0, b.num_rows, step):
+            yield b.slice(at, step)
+
+
 def build(rows: DataFrame, id: str, vector: str, lists: int | None = None, sample_rows: int = SAMPLE, block: int = BLOCK, recall: float = RECALL) -> VectorIndex | None:
     """File every usable row; None if there is none."""
     usable = _usable(rows, id, vector)
@@ -92,10 +101,9 @@ def build(rows: DataFrame, id: str, vector: str, lists: int | None = None, sampl
     shared = rows.sparkSession.sparkContext.broadcast(centres)
 
     def file(batches):
-        for b in batches:
-            if b.num_rows:
-                near = (_matrix(b.column(1)) @ shared.value.T).argmax(1)
-                yield pa.RecordBatch.from_arrays([pa.array(near, pa.int32()), b.column(0), b.column(1)], names=["list", "id", "v"])
+        for b in _slices(batches, k + d):
+            near = (_matrix(b.column(1)) @ shared.value.T).argmax(1)
+            yield pa.RecordBatch.from_arrays([pa.array(near, pa.int32()), b.column(0), b.column(1)], names=["list", "id", "v"])
 
     def blocks(batches):
         for b in batches:
@@ -117,13 +125,13 @@ def search(index: VectorIndex, queries: DataFrame, id: str, vector: str, k: int
     """(query_id, rank, id, similarity): the ``k`` nearest other rows that the lists looked into hold."""
     shared = queries.sparkSession.sparkContext.broadcast(index.centres)
     looks = min(probes or index.probes, len(index.centres))
+    numbers = 3 * len(index.centres) + looks * index.width
 
     def places(batches):
-        for b in batches:
-            if b.num_rows:
-                near = np.argsort(-(_matrix(b.column(1)) @ shared.value.T), axis=1, kind="stable")[:, :looks]
-                yield pa.RecordBatch.from_arrays([pa.array(near.ravel(), pa.int32()), b.column(0).take(pa.array(np.repeat(np.arange(b.num_rows), looks))),
-                                                  b.column(1).take(pa.array(np.repeat(np.arange(b.num_rows), looks)))], names=["list", "id", "v"])
+        for b in _slices(batches, numbers):
+            near = np.argsort(-(_matrix(b.column(1)) @ shared.value.T), axis=1, kind="stable")[:, :looks]
+            row = pa.array(np.repeat(np.arange(b.num_rows), looks))
+            yield pa.RecordBatch.from_arrays([pa.array(near.ravel(), pa.int32()), b.column(0).take(row), b.column(1).take(row)], names=["list", "id", "v"])
 
     asked = _usable(queries, id, vector).filter(F.size("v") == index.width)
     there = settle(asked.mapInArrow(places, "list int, id long, v array<double>"))

@@ -59,3 +59,22 @@ def test_every_usable_row_is_filed_once(spark):
     assert max(len(np.frombuffer(r["ids"], np.int64)) for r in index.blocks.collect()) <= 3
     assert found(index, df.filter("id >= 500 or id is null")) == {}
     assert V.build(df.filter("id >= 500 and id < 505"), "id", "v") is None
+
+
+def test_slices_keep_every_row_and_the_bound(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(V, "HELD", 1_000)
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(n))], names=["id"]) for n in (0, 1, 250)]
+    parts = list(V._slices(batches, 30))
+    assert [i for p in parts for i in p.column(0).to_pylist()] == [0, *range(250)] and max(p.num_rows for p in parts) == 33
+    assert max(p.num_rows for p in V._slices(batches, 5_000)) == 1
+
+
+def test_search_in_slices_is_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = spark.createDataFrame([(i, rng.normal(size=8).tolist()) for i in range(400)], "id long, v array<double>")
+    found = []
+    for held in (2_000_000, 300):
+        monkeypatch.setattr(V, "HELD", held)
+        found.append(sorted(map(tuple, V.search(V.build(rows, "id", "v"), rows, "id", "v", 3).collect())))
+    assert found[0] == found[1]
