@@ -2,42 +2,84 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, functions as F
 
 from brambling.operators.aggregate import group_count
+from brambling.operators.corpus import grouped_words, looked_up
 from brambling.operators.lookup import sized
 
 NOUNS = ("noun", "connector")
 
 
+TAGS = pa.array(["noun", "connector", "compound", "adjective"])
+NOUN, CONNECTOR, COMPOUND, ADJECTIVE = range(4)
+
+
+def _fields(df: DataFrame, keys: list[str]) -> str:
+    return ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+
+
 def tag_tokens(clauses: DataFrame, keys: list[str], tokens: str, lexicon: DataFrame) -> DataFrame:
-    """One row per token with its tag from a (word, tag) table; unknown words get none."""
-    placed = clauses.select(*keys, F.posexplode(tokens).alias("i", "word"))
-    return placed.join(sized(lexicon), "word", "left")
+    """(keys, tokens, tags): each clause with the tags of its tokens from a (word, tag) table; unknown words get none."""
+    grouped, needed = grouped_words(clauses, keys, F.col(tokens))
+
+    def tagged(rows, cut, found):
+        words, row, place = cut
+        ends = pa.array(np.searchsorted(row, np.arange(rows.num_rows + 1)).astype(np.int32))
+        tags = found.column("tag").combine_chunks().take(pa.array(place, mask=place < 0)) if found.num_rows else pa.nulls(len(words), pa.string())
+        return pa.table({**{k: rows.column(k) for k in keys}, "tokens": pa.ListArray.from_arrays(ends, words), "tags": pa.ListArray.from_arrays(ends, tags)})
+
+    return looked_up(grouped, needed, lexicon.select("word", "tag"), tagged, f"{_fields(clauses, keys)}, tokens array<string>, tags array<string>")
+
+
+def _pairs(tagged: DataFrame, keys: list[str], names: tuple[str, str], choose) -> DataFrame:
+    """Pairs of tokens of one clause; ``choose(code, start, words)`` gives their places."""
+    def paired(batches):
+        for b in batches:
+            lists = b.column(len(keys))
+            words = lists.flatten()
+            code = pc.fill_null(pc.index_in(b.column(len(keys) + 1).flatten(), value_set=TAGS), -1).to_numpy()
+            size = pc.list_value_length(lists).to_numpy()
+            row, start = np.repeat(np.arange(b.num_rows), size), np.repeat(np.cumsum(size) - size, size)
+            one, two = choose(code, start, words.dictionary_encode().indices.to_numpy())
+            at = pa.array(row[one])
+            yield pa.RecordBatch.from_arrays([*[b.column(i).take(at) for i in range(len(keys))], words.take(pa.array(one)), words.take(pa.array(two))], names=[*keys, *names])
+
+    return tagged.select(*keys, "tokens", "tags").mapInArrow(paired, f"{_fields(tagged, keys)}, {names[0]} string, {names[1]} string")
+
+
+def _last_connector(code: np.ndarray) -> np.ndarray:
+    """The place of the last connector up to each token, -1 if there is none."""
+    return np.maximum.accumulate(np.where(code == CONNECTOR, np.arange(len(code)), -1)) if len(code) else np.empty(0, np.int64)
 
 
 def adjacent_pairs(tagged: DataFrame, keys: list[str]) -> DataFrame:
     """For each noun: the last connector noun, the compound word before it, adjectives within two tokens."""
-    w = Window.partitionBy(*keys).orderBy("i")      # one clause, so the window is short
-    word, tag = F.col("word"), F.col("tag")
-    at = lambda k: F.struct(F.lag("word", -k).over(w).alias("word"), F.lag("tag", -k).over(w).alias("tag"))
-    near = tagged.withColumns({
-        "_link": F.last(F.when(tag == "connector", word), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-        "_before": at(-1), "_a": at(-2), "_b": at(1), "_c": at(2)})
-    adjective = lambda name: F.when(F.col(f"{name}.tag") == "adjective", F.col(f"{name}.word"))
-    partners = F.array_compact(F.array(
-        F.when(F.col("_link") != word, F.col("_link")), F.when(F.col("_before.tag") == "compound", F.col("_before.word")),
-        adjective("_a"), adjective("_before"), adjective("_b"), adjective("_c")))
-    return near.filter(tag.isin(*NOUNS)).select(*keys, word.alias("obj1"), F.explode(partners).alias("obj2"))
+    def choose(code, start, word):
+        noun = np.flatnonzero((code == NOUN) | (code == CONNECTOR))
+        link = _last_connector(code)[noun]
+        linked = (link >= start[noun]) & (word[link] != word[noun])
+        found = [(noun[linked], link[linked])]
+        for step, kind in ((-1, COMPOUND), (-2, ADJECTIVE), (-1, ADJECTIVE), (1, ADJECTIVE), (2, ADJECTIVE)):
+            at = np.clip(noun + step, 0, max(len(code) - 1, 0))
+            near = (at == noun + step) & (start[at] == start[noun]) & (code[at] == kind)
+            found.append((noun[near], at[near]))
+        return tuple(np.concatenate(side) for side in zip(*found))
+
+    return _pairs(tagged, keys, ("obj1", "obj2"), choose)
 
 
 def nearest_subject(tagged: DataFrame, keys: list[str]) -> DataFrame:
     """Each object noun or adjective with the nearest subject before it in the clause (one pair per token)."""
-    w = Window.partitionBy(*keys).orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    subject = F.last(F.when(F.col("tag") == "connector", F.col("word")), ignorenulls=True).over(w)
-    return (tagged.withColumn("subject", subject)
-            .filter(F.col("tag").isin("noun", "adjective") & F.col("subject").isNotNull())
-            .select(*keys, "subject", F.col("word").alias("object")))
+    def choose(code, start, word):
+        before = np.concatenate([[-1], _last_connector(code)[:-1]]).astype(np.int64)[:len(code)]
+        object_ = np.flatnonzero(((code == NOUN) | (code == ADJECTIVE)) & (before >= start))
+        return before[object_], object_
+
+    return _pairs(tagged, keys, ("subject", "object"), choose)
 
 
 def edge_table(pairs: DataFrame, lemmas: DataFrame, missing: str = "na") -> DataFrame:

@@ -137,3 +137,29 @@ def test_degree_counts_neighbours_once_and_loops_twice(spark):
     edges = spark.createDataFrame([("a", "b", 1), ("b", "a", 1), ("a", "c", 1), ("d", "d", 1), ("e", "f", 1)], "obj1 string, obj2 string, weight int")
     kept = {(r.obj1, r.obj2) for r in graph.degree_filter(edges, 1).collect()}
     assert kept == {("a", "b"), ("b", "a"), ("a", "c"), ("d", "d")}
+
+
+def test_a_table_of_words_is_met_once_per_group_and_word(spark, monkeypatch):
+    """A frequent word is one row of a group, however often it stands there; small groups and slices change no result."""
+    rows = [(i % 40, "the the pool Pool " * 5 + f"w{'abcdefgh'[i % 8]}") for i in range(80)] + [(None, "the"), (99, None), (98, "")]
+    df = spark.createDataFrame(rows, "id int, text string")
+    monkeypatch.setattr(corpus, "GROUP", 300)
+    monkeypatch.setattr(corpus, "CHUNK", 100)
+    grouped, needed = corpus.grouped_words(df, ["id"], T.words(F.col("text")))
+    assert needed.count() == needed.distinct().count() and needed.filter("word = 'the'").count() == grouped.select("_g").distinct().count() > 4
+    vectors = spark.createDataFrame([("the", [1.0, 0.0]), ("pool", [0.0, 3.0]), ("wa", [7.0, 7.0])], "word string, vector array<double>")
+    out = {r.id: r.embedding for r in corpus.doc_embedding(df, "id", "text", vectors).collect()}
+    assert out[0] == pytest.approx([17 / 21, 37 / 21]) and out[1] == pytest.approx([.5, 1.5])
+    assert out[None] is None and out[99] is None and out[98] is None
+
+
+def test_tags_and_pairs_in_small_groups(spark, monkeypatch):
+    lexicon = spark.createDataFrame([("staff", "connector"), ("friendly", "adjective"), ("room", "noun")], "word string, tag string")
+    df = spark.createDataFrame([(i, ["friendly", "staff", "and", "room", f"x{i}"]) for i in range(50)] + [(77, ["staff"]), (78, []), (79, ["no"])], "id int, tokens array<string>")
+    monkeypatch.setattr(corpus, "GROUP", 60)
+    monkeypatch.setattr(corpus, "CHUNK", 40)
+    tagged = graph.tag_tokens(df, ["id"], "tokens", lexicon)
+    assert "Window" not in graph.adjacent_pairs(tagged, ["id"])._jdf.queryExecution().toString()
+    pairs = sorted((r.id, r.obj1, r.obj2) for r in graph.adjacent_pairs(tagged, ["id"]).collect())
+    assert pairs == sorted(p for i in range(50) for p in ((i, "staff", "friendly"), (i, "room", "staff")))
+    assert graph.nearest_subject(tagged, ["id"]).count() == 50
