@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from brambling.operators.aggregate import group_count
-from brambling.operators.corpus import grouped_words, looked_up
+from brambling.operators.corpus import grouped_words, looked_up, runs
 from brambling.operators.lookup import sized
 
 NOUNS = ("noun", "connector")
@@ -24,15 +24,22 @@ def _fields(df: DataFrame, keys: list[str]) -> str:
 
 def tag_tokens(clauses: DataFrame, keys: list[str], tokens: str, lexicon: DataFrame) -> DataFrame:
     """(keys, tokens, tags): each clause with the tags of its tokens from a (word, tag) table; unknown words get none."""
-    grouped, needed = grouped_words(clauses, keys, F.col(tokens))
+    grouped, needed = grouped_words(clauses, keys, F.col(tokens), together=True)
 
-    def tagged(rows, cut, found):
+    def tagged(rows, cut, found, codes):
         words, row, place = cut
-        ends = pa.array(np.searchsorted(row, np.arange(rows.num_rows + 1)).astype(np.int32))
-        tags = found.column("tag").combine_chunks().take(pa.array(place, mask=place < 0)) if found.num_rows else pa.nulls(len(words), pa.string())
-        return pa.table({**{k: rows.column(k) for k in keys}, "tokens": pa.ListArray.from_arrays(ends, words), "tags": pa.ListArray.from_arrays(ends, tags)})
-
-    return looked_up(grouped, needed, lexicon.select("word", "tag"), tagged, f"{_fields(clauses, keys)}, tokens array<string>, tags array<string>")
+        run = runs(rows, keys)
+        nth = np.arange(len(row)) - np.searchsorted(row, row)
+        row = run[row]
+        by = np.lexsort((nth, row))         # rows with equal keys are one clause, token by token
+        row, words, place = row[by], words.take(pa.array(by)), place[by]
+        first = np.flatnonzero(np.diff(run, prepend=-1))
+        ends = pa.array(np.searchsorted(row, np.arange(len(first) + 1)).astype(np.int32))
+        at = np.unique(codes, return_index=True)[1]
+        tags = found.column("tag").combine_chunks().take(pa.array(at[np.maximum(place, 0)], mask=place < 0)) if found.num_rows else pa.nulls(len(words), pa.string())
+        return pa.table({**{k: rows.column(k).take(pa.array(first)) for k in keys}, "tokens": pa.ListArray.from_arrays(ends, words), "tags": pa.ListArray.from_arrays(ends, tags)})
+
+    return looked_up(grouped, needed, lexicon.select("word", "tag"), tagged, f"{_fields(clauses, keys)}, tokens array<string>, tags array<string>", keys)
 
 
 def _pairs(tagged: DataFrame, keys: list[str], names: tuple[str, str], choose) -> DataFrame:

@@ -163,3 +163,18 @@ def test_tags_and_pairs_in_small_groups(spark, monkeypatch):
     pairs = sorted((r.id, r.obj1, r.obj2) for r in graph.adjacent_pairs(tagged, ["id"]).collect())
     assert pairs == sorted(p for i in range(50) for p in ((i, "staff", "friendly"), (i, "room", "staff")))
     assert graph.nearest_subject(tagged, ["id"]).count() == 50
+
+
+def test_repeated_words_and_null_components_of_a_vector_table(spark):
+    """A word that comes twice counts twice; a null component adds nothing but counts, and is null if there is nothing else."""
+    vectors = spark.createDataFrame([("a", [1.0, None]), ("b", [2.0, 4.0]), ("b", [4.0, 0.0]), ("c", None)], "word string, vector array<double>")
+    df = spark.createDataFrame([(1, "a b"), (2, "a a"), (3, "b c")], "id int, text string")
+    out = {r.id: r.embedding for r in corpus.doc_embedding(df, "id", "text", vectors.orderBy("word")).collect()}
+    assert out[1] == pytest.approx([7 / 3, 4 / 3]) and out[2] == [1.0, None] and out[3] == pytest.approx([2.0, 4 / 3])
+
+
+def test_rows_with_equal_keys_are_one_clause(spark):
+    lexicon = spark.createDataFrame([("staff", "connector"), ("nice", "adjective")], "word string, tag string")
+    df = spark.createDataFrame([(None, ["staff", "x", "x", "nice"])] * 2 + [(2, ["staff", "x", "nice"])], "id int, tokens array<string>")
+    rows = graph.adjacent_pairs(graph.tag_tokens(df, ["id"], "tokens", lexicon), ["id"]).collect()
+    assert [tuple(r) for r in rows] == [(2, "staff", "nice")]
