@@ -22,22 +22,25 @@ def _fields(df: DataFrame, keys: list[str]) -> str:
     return ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
 
 
-def tag_tokens(clauses: DataFrame, keys: list[str], tokens: str, lexicon: DataFrame) -> DataFrame:
-    """(keys, tokens, tags): each clause with the tags of its tokens from a (word, tag) table; unknown words get none."""
-    grouped, needed = grouped_words(clauses, keys, F.col(tokens), together=True)
+def tag_tokens(clauses: DataFrame, keys: list[str], tokens: str | None, lexicon: DataFrame) -> DataFrame:
+    """(keys, tokens, tags): each clause with the tags of its tokens from a (word, tag) table; unknown words get none.
+
+    ``tokens`` names an array; None for clauses that are rows of ``marked_words``."""
+    grouped, needed = grouped_words(clauses, keys, F.col(tokens) if tokens else None, together=True)
 
     def tagged(rows, cut, found, codes):
         words, row, place = cut
         run = runs(rows, keys)
-        nth = np.arange(len(row)) - np.searchsorted(row, row)
-        row = run[row]
-        by = np.lexsort((nth, row))         # rows with equal keys are one clause, token by token
-        row, words, place = row[by], words.take(pa.array(by)), place[by]
+        if run[-1] + 1 < len(run):          # rows with equal keys are one clause, token by token
+            nth = np.arange(len(row)) - np.searchsorted(row, row)
+            by = np.lexsort((nth, run[row]))
+            row, words, place = row[by], words.take(pa.array(by)), place[by]
+            row = run[row]
         first = np.flatnonzero(np.diff(run, prepend=-1))
         ends = pa.array(np.searchsorted(row, np.arange(len(first) + 1)).astype(np.int32))
         at = np.unique(codes, return_index=True)[1]
         tags = found.column("tag").combine_chunks().take(pa.array(at[np.maximum(place, 0)], mask=place < 0)) if found.num_rows else pa.nulls(len(words), pa.string())
-        return pa.table({**{k: rows.column(k).take(pa.array(first)) for k in keys}, "tokens": pa.ListArray.from_arrays(ends, words), "tags": pa.ListArray.from_arrays(ends, tags)})
+        return pa.table({**{k: rows.column(k).take(pa.array(first)) for k in keys}, "tokens": pa.ListArray.from_arrays(ends, words.dictionary_decode()), "tags": pa.ListArray.from_arrays(ends, tags)})
 
     return looked_up(grouped, needed, lexicon.select("word", "tag"), tagged, f"{_fields(clauses, keys)}, tokens array<string>, tags array<string>", keys)
 

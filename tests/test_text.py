@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -178,3 +180,34 @@ def test_rows_with_equal_keys_are_one_clause(spark):
     df = spark.createDataFrame([(None, ["staff", "x", "x", "nice"])] * 2 + [(2, ["staff", "x", "nice"])], "id int, tokens array<string>")
     rows = graph.adjacent_pairs(graph.tag_tokens(df, ["id"], "tokens", lexicon), ["id"]).collect()
     assert [tuple(r) for r in rows] == [(2, "staff", "nice")]
+
+
+ODD_TEXTS = [None, "", " ", "The  the pool-side, 3rd\tRoom's", "a\x1cb \x1f c\x85d\xa0e\x00f", "Ärger über ÇA ÿ \xb5m \xaa\xba ×÷ ß", "".join(map(chr, range(256))),
+             "\u212aelvin \u0130stanbul \u03a3\u0391\u03a3 na\u0308h \u2003x\u3000y", "\u65e5\u672c go \U0001f642", "end."]
+
+
+@pytest.mark.parametrize("rule, kept", [(T.words, corpus.WORDS), (corpus._letters, corpus.LETTERS)])
+def test_words_cut_by_bytes_are_those_of_the_column_rule(spark, rule, kept):
+    df = spark.createDataFrame([(i % 3 or None, t) for i, t in enumerate(ODD_TEXTS * 2)], "lang int, text string")
+    plan = corpus.word_totals(df, ["lang"], "text", rule, kept)
+    want = df.select("lang", F.explode(rule(F.col("text"))).alias("word")).groupBy("lang", "word").count()
+    assert sorted(map(str, map(tuple, plan.collect()))) == sorted(map(str, map(tuple, want.collect())))
+    got = corpus.marked_words(df, ["text"], "text", rule, kept).select("text", F.filter(F.split("_words", corpus.MARK), lambda w: w != "").alias("w"))
+    assert Counter((r.text, tuple(r.w)) for r in got.collect()) == Counter((r.text, tuple(r.w or [])) for r in df.select("text", rule(F.col("text")).alias("w")).collect())
+
+
+def test_words_are_counted_before_they_become_rows(spark):
+    """No token of a Latin-1 text becomes a row of its own."""
+    df = spark.createDataFrame([("the pool the",), (None,)], "text string")
+    assert "Generate" not in corpus.vocabulary(df, "text")._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in corpus.vocabulary(df, "text").collect()} == {("the", 2), ("pool", 1)}
+
+
+def test_clauses_cut_in_one_pass_are_those_of_the_column_rules(spark):
+    long = "one two  three,four five six seven eight nine; ten and eleven twelve thir3teen x y z q r s t. Bad! \n\n  , tail AND the \u212aelvin a b c d e f g"
+    odd = [t and t.replace("\x0b", " ") for t in ODD_TEXTS] + [long, long.replace("x", "\xa0\x85\x1c \u00c4"), long.replace("y", "\u2003 \u0130 \u4e2d"), long.replace(" ", "\x0b"), "a?\x1cb. " * 9]
+    df = spark.createDataFrame([(i % 7 or None, t) for i, t in enumerate(odd)], "id int, text string")
+    for least in (0, 7):
+        want = corpus.split_clauses(corpus.split_sentences(df, ["id"], "text"), ["id"], least).select("id", "sentence_no", "clause_no", T.words(F.col("clause")).alias("w"))
+        got = corpus.clause_words(df, ["id"], "text", least)
+        assert Counter((r.id, r.sentence_no, r.clause_no, " ".join(r.w)) for r in want.collect()) == Counter((r.id, r.sentence_no, r.clause_no, r._words.replace(corpus.MARK, " ")) for r in got.collect())
