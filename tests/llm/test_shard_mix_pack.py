@@ -220,6 +220,20 @@ def test_runs_give_the_ids_of_the_whole_text(tokenizer):
         assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_looking_up_costs_by_the_texts_asked_for(monkeypatch):
+    """No table is made of all that is remembered, and what is remembered stays right as it goes."""
+    encoder, sizes, index_in = pack.Encoder(vocabulary(), memory=4_000), [], pack.pc.index_in
+    monkeypatch.setattr(pack.pc, "index_in", lambda a, value_set, **k: sizes.append(len(value_set)) or index_in(a, value_set=value_set, **k))
+    first = " ".join(f"w{i}" for i in range(200))
+    encoder.encode_all(pa.array([first]))
+    del sizes[:]
+    got = encoder.encode_all(pa.array(["w1 w2 new"]))[0].tolist()
+    assert sizes and max(sizes) <= 4
+    assert got == encoder.tokenizer.encode("w1 w2 new", add_special_tokens=False).ids
+    for text in ("w5 w1 w1", first, "w2 other w3"):
+        assert encoder.encode_all(pa.array([text]))[0].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_binary_lengths():
     for n in (1, 2, 3, 4095, 4096, 4097, 10_000):
         got = pack.binary_lengths(n)
