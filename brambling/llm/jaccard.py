@@ -6,7 +6,8 @@ classes link when 100 * intersection >= threshold * union.
 1. *Lonely n-grams.*  A linked text shares at least threshold percent of its n-grams, so it has few that
    nobody else has.  Over one slice of the hash range, classes are counted per n-gram (a minimum and a
    maximum, combined before the shuffle); classes with too many lonely n-grams in the slice alone can link
-   to nothing and go.
+   to nothing and go.  The texts of the rest are picked where they are read, by a bitmap of hashed ids, and
+   what comes along by chance goes when their sets meet the classes; no text is shuffled.
 2. *Global order and fragments.*  The rest is ordered by the number of classes that hold an n-gram, rare
    first, and the order is cut into fragments of equal load: each set becomes one segment per fragment.
 3. *Candidates.*  Two linked sets share one of their first |x| - ceil(t|x|) + 1 n-grams in that order.
@@ -45,6 +46,7 @@ FRAGMENTS = 4
 HUB_ROUNDS = 4
 BITS = 1_024        # of a set's bitmap
 CELL = 2_048        # members of a bucket compared in one cell
+ID_BITS = 1 << 26   # of the bitmap of ids by which texts are picked, at most: 8 MB, sent to every executor
 _DF_CAP, _FP_BITS = (1 << 20) - 1, 43
 
 
@@ -118,25 +120,44 @@ def _survivors(docs: DataFrame, classes: DataFrame, n: int, text: str, threshold
     return met.filter(F.coalesce("alone", F.lit(0)) <= F.col("n") - _least_shared(F.col("n"), threshold)).select("cls", "n", "rep")
 
 
+def _picked(docs: DataFrame, alive: DataFrame, id: str, text: str) -> DataFrame:
+    """(text) of every row whose id names a class of ``alive``, and of the few others whose ids share its bit.
+
+    The bitmap is broadcast in parts of 32,768 bits, so the texts stay in their partitions.
+    """
+    size = min(max(1 << (8 * alive.count()).bit_length(), 1 << 15), ID_BITS)
+    bit = lambda c: F.xxhash64(c).bitwiseAND(F.lit(size - 1))
+    marks = (alive.select(bit("rep").alias("_bit")).groupBy(F.shiftright("_bit", 15).alias("_part"))
+             .agg(F.bitmap_construct_agg(F.col("_bit").bitwiseAND(F.lit((1 << 15) - 1))).alias("_marks")))
+    met = docs.select(col(text).alias("text"), bit(col(id)).alias("_bit")).join(F.broadcast(marks), F.shiftright("_bit", 15) == F.col("_part"))
+    byte = "conv(hex(substring(_marks, cast((_bit & 32767) div 8 as int) + 1, 1)), 16, 10)"
+    return met.filter(F.expr(f"shiftright(cast({byte} as int), cast(_bit & 7 as int)) & 1 = 1")).select("text")
+
+
 def _ordered(sets: DataFrame, threshold: int) -> DataFrame:
     """(cls, n, toks), written: the n-grams of each set that another set holds too, in global order, rare first."""
     posts = sets.select("cls", F.explode("grams").alias("gram"))
     # written, so that the shuffle behind the counts is gone before the next one
     df = settle(posts.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") > 1))
-    place = F.shiftleft(F.least(F.col("df"), F.lit(_DF_CAP)), _FP_BITS) + F.shiftrightunsigned("gram", 64 - _FP_BITS)
-    met = posts.join(df, "gram").select("cls", F.struct(place.alias("place"), "gram").alias("tok"))
+    # a frequency and a hash: the frequencies of a sorted set are runs, which take hardly any room
+    met = posts.join(df, "gram").select("cls", F.struct(F.least(F.col("df"), F.lit(_DF_CAP)).cast("int").alias("df"), "gram").alias("tok"))
     ordered = settle(met.groupBy("cls").agg(F.sort_array(F.collect_list("tok")).alias("toks")).join(sets.select("cls", "n"), "cls")
                      .filter(F.size("toks") >= _least_shared(F.col("n"), threshold)))
     discard(df)
     return ordered
 
 
+def _place(tok: Column) -> Column:
+    """The place of an n-gram in the global order, to 2**-43 of the hash range."""
+    return F.shiftleft(tok["df"].cast("long"), _FP_BITS) + F.shiftright(tok["gram"], 64 - _FP_BITS)
+
+
 def _fragments(ordered: DataFrame, fragments: int) -> DataFrame:
     """(cls, frag, grams): the global order cut at equal loads, one segment per set and fragment."""
     shares = [k / fragments for k in range(1, fragments)]
-    cuts = ordered.select(F.explode("toks.place").alias("place")).agg(F.percentile_approx("place", shares, 1000)).first()[0] or []
+    cuts = ordered.select(F.explode(F.transform("toks", _place)).alias("place")).agg(F.percentile_approx("place", shares, 1000)).first()[0] or []
     bounds = [None, *cuts, None]
-    inside = lambda lo, hi: lambda t: (F.lit(True) if lo is None else t["place"] >= lo) & (F.lit(True) if hi is None else t["place"] < hi)
+    inside = lambda lo, hi: lambda t: (F.lit(True) if lo is None else _place(t) >= lo) & (F.lit(True) if hi is None else _place(t) < hi)
     segments = F.array(*[F.transform(F.filter("toks", inside(lo, hi)), lambda t: t["gram"]) for lo, hi in zip(bounds[:-1], bounds[1:])])
     return (ordered.select("cls", F.posexplode(segments).alias("frag", "grams")).filter(F.size("grams") > 0))
 
@@ -254,9 +275,8 @@ def _resolve(docs: DataFrame, n: int, threshold: int, id: str, text: str) -> tup
     signed = settle(signatures(docs, n, id, text))
     classes = settle(signed.filter(F.col("cls").isNotNull()).groupBy("cls").agg(F.max("n_shingles").alias("n"), F.min("doc_id").alias("rep")))
     alive = settle(_survivors(docs, classes, n, text, threshold))
-    reps = alive.select(F.col("rep").alias("_rep")).distinct()
-    texts = docs.select(col(id).alias("_id"), col(text).alias("text")).join(reps, F.col("_id").eqNullSafe(F.col("_rep")), "left_semi")
-    sets = settle(_sets(texts, n, "text").groupBy("cls", "n").agg(F.first("grams").alias("grams"), F.first("bits").alias("bits")))
+    found = _sets(_picked(docs, alive, id, text), n, "text").join(alive.select("cls"), "cls", "left_semi")
+    sets = settle(found.groupBy("cls", "n").agg(F.first("grams").alias("grams"), F.first("bits").alias("bits")))
     linked = link_classes(sets, threshold)
     named = classes.join(linked.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))

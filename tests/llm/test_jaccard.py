@@ -110,6 +110,40 @@ def test_odd_rows(odd, nothing):
     assert jaccard.near_duplicates(nothing).count() == 0
 
 
+def test_no_text_is_shuffled(spark, monkeypatch):
+    """Texts are picked where they are read, also where nothing is small enough to be broadcast unasked."""
+    rng = random.Random(11)
+    text = lambda: " ".join("".join(rng.choices("abcdefgh", k=4)) for _ in range(rng.choice([3, 30])))
+    same = text()
+    docs = [(i if i % 50 else None, same if i % 20 == 0 else text()) for i in range(300)]
+    docs += [(7, same), (8, docs[9][1] + " more"), (9, None), (10, " ")]
+    plans, settle = [], jaccard.settle
+    monkeypatch.setattr(jaccard, "settle", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), settle(df))[1])
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumnRenamed("text", "full text")
+    key, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "-1")
+    try:
+        compare(jaccard.near_duplicates(df, text="full text"), docs)
+    finally:
+        spark.conf.set(key, before)
+    assert any("grams" in p for p in plans)
+    for p in plans:
+        lines = p.splitlines()
+        for at, line in enumerate(lines):
+            if re.search(r"(?<!Broadcast)Exchange ", line):
+                below = next(x for x in lines[at + 1:] if "Sort " not in x)
+                assert not re.search(r"text#|full text", below), below
+
+
+def test_a_crowded_bitmap_only_lets_more_texts_through(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "ID_BITS", 4)
+    rng = random.Random(12)
+    original = ["".join(rng.choices("abcdefgh", k=4)) for _ in range(40)]
+    docs = [(i, " ".join(original[i % 3:] if i % 2 else original[i // 3:])) for i in range(40)]
+    docs += [(100 + i, " ".join("".join(rng.choices("abcdefgh", k=4)) for _ in range(20))) for i in range(20)]
+    compare(jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")), docs)
+
+
 def test_one_of_each_group_stays(odd, nothing):
     kept = jaccard.deduplicate(odd)
     assert kept.columns == odd.columns
