@@ -17,7 +17,7 @@ from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, Generali
 from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brambling.operators import evaluate, mixture, stepwise
+from brambling.operators import evaluate, forest, mixture, stepwise
 from brambling.operators.encode import fit_medians, impute
 from brambling.operators.explore import explained_variance
 from brambling.session import settle
@@ -186,13 +186,17 @@ def score_binned(model: PipelineModel, df: DataFrame, features: list[str], keep:
 
 
 DRAWS = 5_000_000      # draws of a forest (rows times trees) that one task may make
+GROWN = 20_000_000     # draws beyond which a forest is grown from packed bins
 
 
 def fit_forest(estimator, data: DataFrame):
     """A forest's work is rows times trees; small rows, however, come in one piece after a join, so they are dealt out
-    by that product and not by their bytes."""
+    by that product and not by their bytes; beyond ``GROWN`` they are packed as bins (``forest``)."""
     data = settle(data)
-    tasks = math.ceil(data.count() * estimator.getNumTrees() / DRAWS)
+    rows = data.count()
+    if rows * estimator.getNumTrees() > GROWN and forest.suits(estimator):
+        return forest.grow(estimator, data, rows, bin_edges)
+    tasks = math.ceil(rows * estimator.getNumTrees() / DRAWS)
     if tasks <= 1:
         return estimator.fit(data)
     cores = data.sparkSession.sparkContext.defaultParallelism
