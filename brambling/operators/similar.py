@@ -5,7 +5,8 @@ Items are sets of (user, weight).  Two measures are served: the cosine of mean q
 
 An item whose users hold few items together (``LIGHT``) meets all of them: every user's list is packed once and sent
 whole to each such item, whose partners are added up in one task; only its best leave the task, so no pair becomes a
-row.  Items that meet more are searched by bounded prefixes:
+row.  This goes in rounds, a share of the items in each, so that what lies on disk at once stays near the entries
+themselves (``ROUND``, ``KEPT``).  Items that meet more are searched by bounded prefixes:
 
 1. *Floor.*  A few promising partners of each item (those that its heaviest users hold most of) are compared in full;
    the k-th best similarity is a floor below which no partner counts.  This only guides the search.
@@ -31,13 +32,14 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from brambling.operators.ordering import running_sums, top_k_per_group
 from brambling.operators.recommend import item_user
-from brambling.session import settle
+from brambling.session import new_path, settings, settle
 
 SEED_USERS, SEED_ITEMS = 6, 30      # rows met for the floor: users of an item, and items of each of them
 SLACK = 1e-8                        # a similarity is decided by its exact value, not by rounding in a bound
 DIGITS = 9
 LIGHT, LIST = 100_000, 20_000       # rows that an item may meet to be summed in one task, and the longest packed list
 PAIRS, SENT = 4_000_000, 16_000_000 # rows met by a task, and bytes sent in one batch
+ROUND, KEPT = 1_000_000_000, 48     # bytes of lists sent in a round, or so many for each entry if that is more
 
 
 def _cosine_entries(transactions: DataFrame) -> DataFrame:
@@ -117,35 +119,54 @@ def _nth(group: np.ndarray) -> np.ndarray:
 
 def _light_best(marked: DataFrame, pairs: int, k: int, cosine: bool) -> DataFrame:
     """(seed, item, users, similarity): the best of every light item and what ties with them within ``SLACK``."""
-    kind = "<f8" if cosine else "<i4"
+    spark, kind = marked.sparkSession, "<f8" if cosine else "<i4"
     cells = F.struct("item", (F.col("w") if cosine else F.col("n").cast("int")).alias("v"), "n", "w", "light")
     lists = (marked.filter(F.col("crowd") <= LIST).groupBy("user").agg(F.array_sort(F.collect_list(cells)).alias("c"))
              .filter(F.exists("c", lambda x: x["light"])).select(*[F.col(f"c.{f}").alias(f) for f in ("item", "v", "n", "w", "light")]))
 
-    def sent(batches):
-        rows, held = [], 0
-
-        def batch():
-            seeds, w0, n0, sizes, blobs = zip(*rows)
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(seeds), pa.int64()), pa.array(np.concatenate(w0)), pa.array(np.concatenate(n0), pa.int64()),
-                                               pa.array(np.concatenate(sizes), pa.int32()), pa.array([b for some in blobs for b in some], pa.binary())], names=["seed", "w0", "n0", "size", "list"])
-
+    def pack(batches):
+        """Each user's list as bytes, with the light items that it is sent to."""
         for b in batches:
             ends = b.column(0).offsets.to_numpy()
+            ends = ends - ends[0]
             item, v, n, w, light = (b.column(i).flatten().to_numpy(zero_copy_only=False) for i in range(5))
-            for lo, hi in zip((ends[:-1] - ends[0]).tolist(), (ends[1:] - ends[0]).tolist()):
-                own = lo + np.flatnonzero(light[lo:hi])
-                blob = _packed_list(item[lo:hi], v[lo:hi].astype(kind))
-                step = max(SENT // len(blob), 1)
-                for at in range(0, len(own), step):
-                    some = own[at:at + step]
-                    rows.append((item[some], w[some], n[some], np.full(len(some), hi - lo), [blob] * len(some)))
-                    held += len(some) * len(blob)
-                    if held >= SENT:
-                        yield batch()
-                        rows, held = [], 0
-        if rows:
-            yield batch()
+            light = light.astype(bool)
+            blobs = [_packed_list(item[lo:hi], v[lo:hi].astype(kind)) for lo, hi in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            edges = np.append(0, np.cumsum(light))[ends].astype(np.int32)
+            own = [pa.ListArray.from_arrays(pa.array(edges), pa.array(x[light].astype(t))) for x, t in ((item, np.int64), (w, float), (n, np.int64))]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(np.diff(ends).astype(np.int32)), pa.array(blobs, pa.binary())], names=["seed", "w0", "n0", "size", "list"])
+
+    held = settle(lists.mapInArrow(pack, "seed array<long>, w0 array<double>, n0 array<long>, size int, list binary"))
+    sizes = held.agg(F.sum(F.size("seed") * F.length("list").cast("long")).alias("sent"), F.sum("size").alias("entries")).first()
+    rounds = math.ceil((sizes["sent"] or 0) / max(ROUND, KEPT * (sizes["entries"] or 0))) or 1
+
+    def sent(turn: int):
+        def fn(batches):
+            rows, held = [], 0
+
+            def batch():
+                seeds, w0, n0, sizes, blobs = zip(*rows)
+                return pa.RecordBatch.from_arrays([pa.array(np.concatenate(seeds), pa.int64()), pa.array(np.concatenate(w0)), pa.array(np.concatenate(n0), pa.int64()),
+                                                   pa.array(np.concatenate(sizes), pa.int32()), pa.array([b for some in blobs for b in some], pa.binary())], names=["seed", "w0", "n0", "size", "list"])
+
+            for b in batches:
+                ends = b.column(0).offsets.to_numpy()
+                item, w, n = (b.column(i).flatten().to_numpy() for i in range(3))
+                due = (item.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(rounds) == turn
+                due, upto = np.flatnonzero(due), np.append(0, np.cumsum(due))[ends - ends[0]].tolist()
+                for lo, hi, size, blob in zip(upto[:-1], upto[1:], b.column(3).to_pylist(), b.column(4).to_pylist()):
+                    step = max(SENT // len(blob), 1)
+                    for at in range(lo, hi, step):
+                        some = due[at:min(at + step, hi)]
+                        rows.append((item[some], w[some], n[some], np.full(len(some), size), [blob] * len(some)))
+                        held += len(some) * len(blob)
+                        if held >= SENT:
+                            yield batch()
+                            rows, held = [], 0
+            if rows:
+                yield batch()
+
+        return fn
 
     def best(batches):
         seen = [b for b in batches if b.num_rows]
@@ -191,25 +212,30 @@ def _light_best(marked: DataFrame, pairs: int, k: int, cosine: bool) -> DataFram
             yield pa.RecordBatch.from_arrays([pa.array(seed[rows][first]), pa.array(items[keep]), pa.array(users[keep].astype(np.int64)), pa.array(score[keep])],
                                              names=["seed", "item", "users", "similarity"])
 
-    cores = marked.sparkSession.sparkContext.defaultParallelism
-    dealt = lists.mapInArrow(sent, "seed long, w0 double, n0 long, size int, list binary").repartition(max(math.ceil(pairs / PAIRS), cores), "seed")
-    return dealt.mapInArrow(best, "seed long, item long, users long, similarity double")
+    tasks, path = max(math.ceil(pairs / rounds / PAIRS), spark.sparkContext.defaultParallelism), new_path(spark, "similar")
+    schema = "seed long, item long, users long, similarity double"
+    for turn in range(rounds):
+        dealt = held.mapInArrow(sent(turn), "seed long, w0 double, n0 long, size int, list binary").repartition(tasks, "seed")
+        dealt.mapInArrow(best, schema).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def similar_items(transactions: DataFrame, k: int = 5, cosine: bool = True) -> DataFrame:
     """(seed, item, rank, users, similarity): the ``k`` items most like each item, and how many users the two share."""
     measure = _Measure(cosine)
-    entries = settle(_cosine_entries(transactions) if cosine else _jaccard_entries(transactions))
-    crowd = entries.groupBy("user").agg(F.count(F.lit(1)).alias("crowd"))
-    crowded = settle(entries.join(crowd, "user"))
-    whole = isinstance(entries.schema["item"].dataType, T.IntegralType)
-    costs = crowded.groupBy("item").agg(F.sum("crowd").alias("cost"), (F.lit(whole) & (F.sum("crowd") <= LIGHT) & (F.max("crowd") <= LIST)).alias("light"))
-    costs = settle(costs)
-    marked = settle(crowded.join(costs.select("item", "light"), "item"))
-    total = costs.agg(F.sum(F.when(F.col("light"), F.col("cost"))).alias("met"), F.count_if(~F.col("light")).alias("heavy")).first()
-    found = [_light_best(marked, total["met"], k, cosine)] if total["met"] else []
-    if total["heavy"] or not found:
-        found.append(_heavy_scores(entries, marked.filter(~F.col("light")).drop("light"), measure, k))
+    # what a step has shuffled is not needed once its table is written
+    with settings(transactions.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        entries = settle(_cosine_entries(transactions) if cosine else _jaccard_entries(transactions))
+        crowd = entries.groupBy("user").agg(F.count(F.lit(1)).alias("crowd"))
+        crowded = settle(entries.join(crowd, "user"))
+        whole = isinstance(entries.schema["item"].dataType, T.IntegralType)
+        costs = crowded.groupBy("item").agg(F.sum("crowd").alias("cost"), (F.lit(whole) & (F.sum("crowd") <= LIGHT) & (F.max("crowd") <= LIST)).alias("light"))
+        costs = settle(costs)
+        marked = settle(crowded.join(costs.select("item", "light"), "item"))
+        total = costs.agg(F.sum(F.when(F.col("light"), F.col("cost"))).alias("met"), F.count_if(~F.col("light")).alias("heavy")).first()
+        found = [_light_best(marked, total["met"], k, cosine)] if total["met"] else []
+        if total["heavy"] or not found:
+            found.append(_heavy_scores(entries, marked.filter(~F.col("light")).drop("light"), measure, k))
     scored = reduce(DataFrame.unionByName, found).withColumn("_s", F.round("similarity", DIGITS))
     best = top_k_per_group(scored, ["seed"], [F.desc("_s"), "item"], k)
     return best.select("seed", "item", "rank", "users", "similarity")
