@@ -24,6 +24,7 @@ Items without a partner have no rows; ties go to the smaller item; null items, u
 from __future__ import annotations
 
 import math
+import struct
 from functools import reduce
 
 import numpy as np
@@ -94,21 +95,25 @@ def _summed(pairs: DataFrame, own: DataFrame, other: DataFrame, measure: _Measur
     return sums.withColumn("similarity", measure.score(F.col("dot"), F.col("n"), F.col("n0")))
 
 
+WIDTHS, HEAD = {2: "<u2", 4: "<u4", 8: "<i8"}, struct.Struct("<Bq")
+
+
 def _packed_list(items: np.ndarray, values: np.ndarray) -> bytes:
-    """Ascending items as steps of the least width that holds them, then their values."""
-    steps = np.diff(items, prepend=0)
-    width = 4 if steps.max() < 1 << 32 and steps.min() >= 0 else 8
-    return bytes([width]) + steps.astype("<u4" if width == 4 else "<i8").tobytes() + values.tobytes()
+    """The first of ascending items, the steps from there in the least width that holds them, then their values."""
+    steps = np.diff(items, prepend=items[:1])
+    width = 8 if steps.min() < 0 else next((w for w in (2, 4) if steps.max() < 1 << 8 * w), 8)
+    return HEAD.pack(width, items[0]) + steps.astype(WIDTHS[width]).tobytes() + values.tobytes()
 
 
 def _unpacked(blobs: list[bytes], sizes: np.ndarray, kind: str) -> tuple[np.ndarray, np.ndarray]:
     """The items and values of many packed lists in a row."""
-    items, values = [], []
+    firsts, items, values = [], [], []
     for blob, n in zip(blobs, sizes.tolist()):
-        width = blob[0]
-        items.append(np.frombuffer(blob, "<u4" if width == 4 else "<i8", n, 1).cumsum(dtype=np.int64))
-        values.append(np.frombuffer(blob, kind, n, 1 + width * n))
-    return np.concatenate(items), np.concatenate(values)
+        width, first = HEAD.unpack_from(blob)
+        firsts.append(first)
+        items.append(np.frombuffer(blob, WIDTHS[width], n, HEAD.size).cumsum(dtype=np.int64))
+        values.append(np.frombuffer(blob, kind, n, HEAD.size + width * n))
+    return np.concatenate(items) + np.repeat(np.array(firsts, np.int64), sizes), np.concatenate(values)
 
 
 def _nth(group: np.ndarray) -> np.ndarray:

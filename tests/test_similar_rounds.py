@@ -24,3 +24,12 @@ def test_lists_are_sent_in_rounds(spark, monkeypatch, cosine):
     few = [r for r in rows if 0 <= r[1] <= 1000]
     got = sorted((r["seed"], r["item"], r["rank"], r["users"], round(r["similarity"], 6)) for r in S.similar_items(narrow, 3, cosine).collect())
     assert got == brute(few, 3, cosine)
+
+
+@pytest.mark.parametrize("items, width", [([5, 9, 65_540], 2), ([0, 65_536], 4), ([1 << 40, (1 << 40) + 1], 2), ([-3, 4], 2), ([7], 2), ([-(1 << 62), 1 << 62], 8)])
+def test_lists_take_the_least_width_that_holds_their_steps(items, width):
+    values = np.arange(len(items), dtype="<i4")
+    blob = S._packed_list(np.array(items), values)
+    assert len(blob) == 9 + (width + 4) * len(items)
+    got, told = S._unpacked([blob, blob], np.array([len(items)] * 2), "<i4")
+    assert got.tolist() == items * 2 and told.tolist() == values.tolist() * 2
