@@ -4,8 +4,8 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
-from brambling.operators import models as M
-from brambling.session import new_path
+from brambling.operators import forest, models as M
+from brambling.session import new_path, settle
 
 NAMES = ["a", "b", "c"]
 
@@ -60,3 +60,23 @@ def test_leaves_keep_enough_draws_and_missing_labels_are_refused(spark, rows, mo
     gaps = M.assemble(rows.withColumn("y", F.when(F.col("id") > 5, F.col("y"))), NAMES, ["y"])
     with pytest.raises(Exception, match="[Ll]abels"):
         M.fit_forest(M.forest_regressor("y", trees=3), gaps)
+
+
+@pytest.mark.parametrize("y", ["y", "k"])
+def test_levels_over_rows_split_like_cells(spark, rows, y, monkeypatch):
+    """Few cells or many, one chunk of rows or several: the same draws give the same splits."""
+    estimator, classes = estimators(y), 0 if y == "y" else 3
+    data = settle(rows.select(F.col(y).cast("double"), *NAMES))
+    edges = M.bin_edges(data, NAMES)
+    found = []
+    for table, chunk in ((1 << 20, 8_000_000), (0, 8_000_000), (0, 700)):
+        monkeypatch.setattr(forest, "TABLE", table)
+        monkeypatch.setattr(forest, "CHUNK", chunk)
+        found.append({x[:2]: x[2:] for x in forest.splits(estimator, data, edges, classes, 3000)})
+    cells, *levels = found
+    assert len(cells) > 25 * 10
+    for other in levels:
+        assert other.keys() == cells.keys()
+        same = [other[k][:2] == cells[k][:2] for k in cells]
+        assert np.mean(same) > .99          # equal gains of two splits may be told apart by rounding
+        assert all(other[k][3] == pytest.approx(cells[k][3]) for k in cells if k[1] == 0)
